@@ -1,0 +1,64 @@
+"""Joins of a large table with a keyed side whose size is measured first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from storelens.session import materialize
+
+BROADCAST_ROWS = 200_000
+SALTS = 64
+TOP_IN_ONE_MERGE = 1_000_000
+
+
+def sized_join(
+    facts: DataFrame,
+    keyed: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Left, semi or anti join on ``keys``, which must be unique in ``keyed``.
+
+    ``keyed`` is written once and counted. Up to ``broadcast_rows`` narrow rows it
+    is broadcast. Beyond that each of its rows is repeated per salt and the facts
+    are spread over the salts by their content, so that one frequent key is shared
+    by many tasks; full copies of one row meet in one salt, which the adaptive skew
+    join can then split.
+    """
+    stored = materialize(keyed)
+    if stored.count() <= broadcast_rows:
+        return facts.join(F.broadcast(stored), keys, how)
+    salted = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hashable = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = facts.withColumn(
+        "_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    )
+    return spread.join(salted, [*keys, "_salt"], how).drop("_salt")
+
+
+def smallest(df: DataFrame, column: str, n: int, in_one_merge: int = TOP_IN_ONE_MERGE) -> DataFrame:
+    """The ``n`` smallest rows by a unique column.
+
+    A small ``n`` is a plain top-n. A large one is cut from a global sort: the sizes
+    of its partitions tell in which one the n-th row lies.
+    """
+    if n <= in_one_merge:
+        return df.orderBy(column).limit(n)
+    part = F.spark_partition_id()
+    ordered = materialize(df.orderBy(column)).withColumn("_part", part)
+    sizes = {r["_part"]: r["count"] for r in ordered.groupBy("_part").count().collect()}
+    taken, cut = 0, None
+    for number in sorted(sizes):
+        if taken + sizes[number] > n:
+            cut = number
+            break
+        taken += sizes[number]
+    if cut is None:
+        return ordered.drop("_part")
+    whole = ordered.where(F.col("_part") < cut)
+    rest = ordered.where(F.col("_part") == cut).orderBy(column).limit(n - taken)
+    return whole.unionByName(rest).drop("_part")
