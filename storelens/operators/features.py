@@ -163,16 +163,18 @@ _DISTINCT = (
 )
 
 
+def _of_kind(kind: int, values: Column) -> Column:
+    number = F.lit(kind).cast("tinyint").alias("kind")
+    return F.transform(values, lambda v: F.struct(number, v.alias("value")))
+
+
 def _distincts(purchases: DataFrame) -> DataFrame:
     """Distinct cities, stores, days and categories per customer.
 
     (customer, kind, value) triples are made unique first, so that a customer with
     very many purchases is spread over tasks before anything is counted.
     """
-    per_kind = [
-        F.transform(values(), lambda v, k=kind: F.struct(F.lit(k).cast("tinyint").alias("kind"), v.alias("value")))
-        for kind, _, values in _DISTINCT
-    ]
+    per_kind = [_of_kind(kind, values()) for kind, _, values in _DISTINCT]
     triples = (
         purchases.select("customer_id", F.explode(F.concat(*per_kind)).alias("seen"))
         .select("customer_id", "seen.kind", "seen.value")

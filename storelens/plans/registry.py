@@ -38,9 +38,7 @@ RETAIL_CONFIG = FeatureConfig(
     low_cost_under=200000,
     high_spender_over=400000,
 )
-PROFILE = clean.null_tests(
-    ["category", "item", "price_per_unit", "quantity", "total_spent"], zero=("quantity",)
-)
+PROFILED = ["category", "item", "price_per_unit", "quantity", "total_spent"]
 METRIC_GROUPS = {
     "customer_stats": [
         "total_purchases", "avg_cart_value", "max_cart_value", "min_cart_value",
@@ -74,8 +72,13 @@ def _sold(step: Callable[[DataFrame], DataFrame]) -> Query:
     return _over("v_sales", lambda df: step(sales.sold(df)))
 
 
+def _profile(df: DataFrame) -> DataFrame:
+    return clean.null_profile(df, clean.null_tests(PROFILED, zero=("quantity",)))
+
+
 def _profiles(df: DataFrame) -> DataFrame:
-    return clean.compare_profiles(df, sales.fill_sales(df), PROFILE)
+    tests = clean.null_tests(PROFILED, zero=("quantity",))
+    return clean.compare_profiles(df, sales.fill_sales(df), tests)
 
 
 def _repaired(df: DataFrame) -> DataFrame:
@@ -331,7 +334,7 @@ def _complete_items(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "snake_case_columns": _snake_case,
-        "null_profile": _over("v_sales", lambda df: clean.null_profile(df, PROFILE)),
+        "null_profile": _over("v_sales", _profile),
         "null_profile_compare": _over("v_sales", _profiles),
         "sales_repair": _over("v_sales", _repaired),
         "price_dense_rank": _over("v_sales", lambda df: sales.rank_prices(sales.recover_price(df))),
