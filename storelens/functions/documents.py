@@ -1,61 +1,82 @@
-"""JSON text columns: validity and typed field access through the Variant type."""
+"""JSON text columns: validity and typed fields from one parse per document."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens.functions import convert
 
-
-def parsed(text: Column) -> Column:
-    """Variant of a JSON text, NULL for empty or broken text.
-
-    The parser stops after the first value, so text with something behind the
-    closing bracket is refused by comparing the outer characters.
-    """
-    closed = (
-        F.when(text.rlike(r"^\s*\{"), text.rlike(r"\}\s*$"))
-        .when(text.rlike(r"^\s*\["), text.rlike(r"\]\s*$"))
+_FLAW = "_flaw"
+_STRICT = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _FLAW,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+
+
+def _closed(text: Column) -> Column:
+    """The last character closes the first one; the parser itself stops after the first value."""
+    bare = F.btrim(text, F.lit(" \n\r\t"))
+    return (
+        F.when(bare.startswith("{"), bare.endswith("}"))
+        .when(bare.startswith("["), bare.endswith("]"))
         .otherwise(True)
     )
-    return F.when(closed, F.try_parse_json(text))
-
 
-def is_valid(text: Column) -> Column:
-    return (text != "") & parsed(text).isNotNull()
 
+def opened(df: DataFrame, text: Column, schema: T.StructType) -> DataFrame:
+    """Add ``document``, the fields of ``schema``, and ``valid`` to every row.
 
-def text_at(document: Column, path: str) -> Column:
-    return F.try_variant_get(document, f"$.{path}", "string")
+    A field of another type than expected is NULL and does not make the document
+    invalid: only documents with such a flaw are parsed a second time to tell bad
+    types from bad JSON. The explode of a one-element array keeps later filters on
+    ``document`` from repeating the parse below it.
+    """
+    full = T.StructType([*schema.fields, T.StructField(_FLAW, T.StringType())])
+    read = F.from_json(text, full, _STRICT)
+    document = F.col("document")
+    sound = F.when(
+        document.isNotNull() & document[_FLAW].isNull(), True
+    ).otherwise(F.try_parse_json(text).isNotNull())
+    parsed = df.select("*", F.explode(F.array(read)).alias("document"))
+    return parsed.withColumn(
+        "valid", F.coalesce((text != "") & _closed(text) & sound, F.lit(False))
+    )
 
 
-def strings_at(document: Column, path: str) -> Column:
-    found = F.try_variant_get(document, f"$.{path}", "array<string>")
-    return F.coalesce(found, F.array().cast("array<string>"))
+def leaf_type(kind: str) -> T.DataType:
+    """How a field is read from the document; all but flags and lists come as text."""
+    if kind == "bool":
+        return T.BooleanType()
+    return T.ArrayType(T.StringType()) if kind == "strings" else T.StringType()
 
 
-def bool_at(document: Column, path: str) -> Column:
-    found = F.try_variant_get(document, f"$.{path}", "boolean")
-    return F.coalesce(found, F.lit(False))
+def document_schema(paths: dict[str, str]) -> T.StructType:
+    """Nested schema that holds the given dotted paths with their kinds."""
+    heads: dict[str, dict[str, str]] = {}
+    for path, kind in paths.items():
+        head, _, rest = path.partition(".")
+        heads.setdefault(head, {})[rest] = kind
+    return T.StructType([
+        T.StructField(head, leaf_type(rests[""]) if "" in rests else document_schema(rests))
+        for head, rests in heads.items()
+    ])
 
 
-def field_column(document: Column, source: Column, path: str, kind: str) -> Column:
-    """Column for one field of a table specification."""
-    if kind == "strings":
-        return strings_at(document, path)
-    if kind == "bool":
-        return bool_at(document, path)
-    if kind == "json":
-        # Taken from the text: a Variant would sort the keys of the subtree.
-        return convert.lower_or_null(F.get_json_object(source, f"$.{path}"))
-    text = text_at(document, path)
-    convert_to = {
+def typed(value: Column, kind: str) -> Column:
+    """Column of one kind from what was read for the field."""
+    rules = {
         "lower": convert.lower_or_null,
+        "json": convert.lower_or_null,
         "text": convert.blank_to_null,
         "double": convert.to_double,
         "uint16": convert.to_uint16,
         "date": convert.to_day,
         "timestamp": convert.to_moment,
+        "bool": lambda v: F.coalesce(v, F.lit(False)),
+        "strings": lambda v: F.coalesce(v, F.array().cast("array<string>")),
     }
-    return convert_to[kind](text)
+    return rules[kind](value)

@@ -36,12 +36,12 @@ def unescape(text: Column) -> Column:
 
     def piece(part: Column) -> Column:
         decimal = F.regexp_extract(part, r"^&#(\d{1,7});$", 1).try_cast("bigint")
-        hexa = F.conv(F.nullif(F.regexp_extract(part, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1), F.lit("")), 16, 10)
-        return F.coalesce(
-            F.try_element_at(names, part),
-            _code_point(decimal),
-            _code_point(hexa.try_cast("bigint")),
-            part,
+        hexa = F.nullif(F.regexp_extract(part, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1), F.lit(""))
+        numeric = F.coalesce(decimal, F.conv(hexa, 16, 10).try_cast("bigint"))
+        return (
+            F.when(~part.startswith("&"), part)
+            .when(part.startswith("&#"), F.coalesce(_code_point(numeric), part))
+            .otherwise(F.coalesce(F.try_element_at(names, part), part))
         )
 
     decoded = F.array_join(F.transform(F.split(text, _ENTITY_CUT), piece), "")

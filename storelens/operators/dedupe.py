@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.session import materialize
 from storelens.sources.specs import TableSpec
 
 BROADCAST_HASHES = 500_000
@@ -41,7 +42,6 @@ def new_rows(
     return batch.join(stored, "row_hash", "left_anti").select(*batch.columns)
 
 
-def load_new(
-    raw_typed: DataFrame, spec: TableSpec, target: DataFrame | None
-) -> DataFrame:
-    return new_rows(unique_rows(raw_typed, spec), target)
+def load_new(parsed: DataFrame, spec: TableSpec, target: DataFrame | None) -> DataFrame:
+    """Unique rows of ``parsed`` that ``target`` lacks; the unique rows are written once."""
+    return new_rows(materialize(unique_rows(parsed, spec)), target)

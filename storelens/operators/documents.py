@@ -11,35 +11,40 @@ from storelens.functions import documents
 from storelens.functions.rowhash import row_hash
 from storelens.sources.specs import TableSpec
 
+_ID_SCHEMA = documents.document_schema({"_id": "text"})
 
-def land_raw(messages: DataFrame, as_of: datetime | None = None) -> DataFrame:
+
+def check_messages(messages: DataFrame) -> DataFrame:
+    """Messages with their document id and ``valid``; base of both functions below."""
+    texts = messages.select(F.col("value").cast("string").alias("value"))
+    return documents.opened(texts, F.col("value"), _ID_SCHEMA)
+
+
+def landed(checked: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Valid messages as ``(id, full_data, created_at)``; ``as_of`` fixes the arrival time."""
     arrived = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    text = F.col("value").cast("string")
-    return messages.where(documents.is_valid(text)).select(
-        F.coalesce(F.get_json_object(text, "$._id"), F.lit("")).alias("id"),
-        text.alias("full_data"),
+    return checked.where("valid").select(
+        F.coalesce("document._id", F.lit("")).alias("id"),
+        F.col("value").alias("full_data"),
         arrived.alias("created_at"),
     )
 
 
-def rejected_messages(messages: DataFrame) -> DataFrame:
-    """Messages that ``land_raw`` leaves out."""
-    text = F.col("value").cast("string")
-    valid = F.coalesce(documents.is_valid(text), F.lit(False))
-    return messages.where(~valid).select(text.alias("value"))
+def rejected(checked: DataFrame) -> DataFrame:
+    return checked.where("NOT valid").select("value")
+
+
+def land_raw(messages: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    return landed(check_messages(messages), as_of)
 
 
 def parse_documents(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed columns of ``spec`` and ``row_hash`` for each valid document of ``full_data``."""
-    source = F.col("full_data")
-    document = F.col("document")
-    staged = raw.where(source != "").select(
-        source, documents.parsed(source).alias("document")
-    )
-    typed = staged.where(document.isNotNull()).select(
+    schema = documents.document_schema({f.path: f.kind for f in spec.fields})
+    read = documents.opened(raw.select("full_data"), F.col("full_data"), schema)
+    typed = read.where("valid").select(
         *[
-            documents.field_column(document, source, f.path, f.kind).alias(f.name)
+            documents.typed(F.col(f"document.{f.path}"), f.kind).alias(f.name)
             for f in spec.fields
         ]
     )

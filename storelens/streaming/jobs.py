@@ -61,10 +61,10 @@ def stream_raw(
     """Messages to the raw table; unusable ones to the reject table."""
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
-        cached = clean.keep(batch)
-        store.write_batch(documents.land_raw(cached), target, run, number)
-        store.write_batch(documents.rejected_messages(cached), rejects, run, number)
-        cached.unpersist()
+        checked = clean.keep(documents.check_messages(batch))
+        store.write_batch(documents.landed(checked), target, run, number)
+        store.write_batch(documents.rejected(checked), rejects, run, number)
+        checked.unpersist()
 
     return _each_batch(stream, checkpoint, handle, trigger)
 
