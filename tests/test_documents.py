@@ -1,0 +1,106 @@
+"""JSON landing, typing and duplicate removal."""
+
+import json
+from datetime import date, datetime
+
+
+from storelens.operators import dedupe, documents
+from storelens.sources.specs import CUSTOMERS, PRODUCTS, PURCHASES, SPECS, STORES
+
+AT = datetime(2024, 1, 1)
+
+
+def texts(spark, rows, name="full_data"):
+    return spark.createDataFrame([(r,) for r in rows], f"{name} string")
+
+
+def test_land_raw_keeps_valid_json_only(spark):
+    rows = ['{"_id": 7, "x": "é"}', "", "{bad", "null", "[1, 2]", '{"_id": "a"} x', "{'_id': 1}", None, '{"a": NaN}']
+    messages = texts(spark, rows, "value")
+    kept = documents.land_raw(messages, AT).collect()
+    assert {(r["id"], r["full_data"]) for r in kept} == {("7", rows[0]), ("", "null"), ("", "[1, 2]")}
+    assert all(r["created_at"] == AT for r in kept)
+    lost = documents.rejected(documents.check_messages(messages)).collect()
+    assert {r["value"] for r in lost} == {"", "{bad", '{"_id": "a"} x', "{'_id': 1}", None, '{"a": NaN}'}
+
+
+def test_specs_have_the_expected_width():
+    assert {n: len(s.fields) for n, s in SPECS.items()} == {
+        "products": 18, "customers": 26, "purchases": 25, "stores": 24}
+
+
+def test_product_conversions(spark):
+    document = {
+        "id": "PR-1", "name": "", "group": "Молочные Продукты", "kbju": {"calories": "12.5", "protein": 3, "fat": None, "carbohydrates": "many"},
+        "price": 10, "expiry_days": -1, "is_organic": True, "manufacturer": "not an object",
+    }
+    row = documents.parse_documents(texts(spark, [json.dumps(document, ensure_ascii=False)]), PRODUCTS).first()
+    assert row["product_id"] == "pr-1"
+    assert row["name"] is None
+    assert row["group_name"] == "молочные продукты"
+    assert (row["calories"], row["protein"], row["fat"], row["carbohydrates"]) == (12.5, 3.0, None, None)
+    assert row["price"] == 10.0
+    assert row["expiry_days"] is None
+    assert row["is_organic"] is True
+    assert row["manufacturer_name"] is None
+
+
+def test_customer_nested_and_missing(spark):
+    document = {
+        "customer_id": "C1", "email": "Keep@Case.com", "birth_date": "1990-13-01", "registration_date": "2024-01-05T10:11:12.000123",
+        "preferences": {"receive_promotions": True}, "is_loyalty_member": "true",
+    }
+    row = documents.parse_documents(texts(spark, [json.dumps(document)]), CUSTOMERS).first()
+    assert row["email"] == "Keep@Case.com"
+    assert row["birth_date"] is None
+    assert row["registration_date"] == datetime(2024, 1, 5, 10, 11, 12, 123)
+    assert row["receive_promotions"] is True
+    assert row["is_loyalty_member"] is False
+    assert row["purchase_city"] is None
+
+
+def test_purchase_items_keep_their_text(spark):
+    document = '{"purchase_id": "P1", "items": [{"product_id":"B","category":"Фрукты"}], "purchase_datetime": "bad"}'
+    row = documents.parse_documents(texts(spark, [document]), PURCHASES).first()
+    assert row["items"] == '[{"product_id":"b","category":"фрукты"}]'
+    assert row["purchase_datetime"] is None
+
+
+def test_store_lists_and_dates(spark):
+    rows = ['{"_id":"1","store_id":"S","categories":["A","b"],"last_inventory_date":"2025-03-01"}', '{"_id":"2","store_id":"S2"}']
+    got = {r["id"]: r for r in documents.parse_documents(texts(spark, rows), STORES).collect()}
+    assert got["1"]["categories"] == ["A", "b"]
+    assert got["1"]["last_inventory_date"] == date(2025, 3, 1)
+    assert got["2"]["categories"] == []
+
+
+def test_valid_json_of_another_shape_gives_an_empty_row(spark):
+    rows = documents.parse_documents(texts(spark, ["null", "[1]", '[{"id": 1}]', "5"]), PRODUCTS).collect()
+    assert len(rows) == 4
+    assert all(r["product_id"] is None for r in rows)
+    assert documents.parse_documents(texts(spark, ["", "{bad", None]), PRODUCTS).count() == 0
+
+
+def test_store_reload_with_a_new_id_is_no_new_row(spark):
+    rows = ['{"_id":"2","store_id":"S"}', '{"_id":"1","store_id":"S"}']
+    unique = dedupe.unique_rows(documents.parse_documents(texts(spark, rows), STORES), STORES).collect()
+    assert [r["id"] for r in unique] == ["1"]
+
+
+def test_new_rows_both_ways_agree(spark):
+    incoming = [json.dumps({"purchase_id": str(i % 20)}) for i in range(40)]
+    stored = [json.dumps({"purchase_id": str(i)}) for i in range(5)]
+    batch = dedupe.unique_rows(documents.parse_documents(texts(spark, incoming), PURCHASES), PURCHASES)
+    target = documents.parse_documents(texts(spark, stored), PURCHASES)
+    wide = dedupe.new_rows(batch, target, broadcast_hashes=0)
+    narrow = dedupe.new_rows(batch, target)
+    ids = sorted(int(r["purchase_id"]) for r in narrow.collect())
+    assert ids == list(range(5, 20))
+    assert sorted(r["row_hash"] for r in wide.collect()) == sorted(r["row_hash"] for r in narrow.collect())
+    assert dedupe.new_rows(batch, None).count() == 20
+
+
+def test_parse_reads_each_document_once(spark):
+    typed = documents.parse_documents(texts(spark, ['{"id": 1}']), PRODUCTS)
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1

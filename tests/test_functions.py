@@ -1,0 +1,137 @@
+"""Scalar expressions on literal rows."""
+
+import hashlib
+from datetime import date, datetime
+from html import unescape as reference_unescape
+from urllib.parse import urljoin, urlsplit
+
+import pytest
+from pyspark.sql import functions as F
+
+from storelens.functions import convert, html, privacy
+from storelens.functions.rowhash import row_hash
+from storelens.operators.clean import snake_case
+
+
+def values(spark, rows, build, dtype="string"):
+    """The expression over one column of literals, in order."""
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], f"i int, c {dtype}")
+    return [r[0] for r in df.orderBy("i").select(build(F.col("c"))).collect()]
+
+
+def test_normalize_phone(spark):
+    cases = {
+        "8 (912) 345-67-89": "+79123456789",
+        "+7 912 345 67 89": "+79123456789",
+        "9123456789": "+79123456789",
+        "+49 (30) 1234": "+49 (30) 1234",
+        "0049 30": "+004930",
+        "": "",
+        None: "",
+        "no digits": "no digits",
+    }
+    assert values(spark, list(cases), privacy.normalize_phone) == list(cases.values())
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def test_mask_pii_reaches_every_depth(spark):
+    df = spark.createDataFrame(
+        [(1, "9123456789", ("User@Mail.COM", "keep"), [("8 912 345-67-89", 5), (None, 6)], {"a": ("X@Y.z",)})],
+        "_id int, Phone string, contact struct<Work_Email:string,note:string>, "
+        "people array<struct<phone_no:string,age:int>>, extra map<string,struct<email:string>>",
+    )
+    row = privacy.mask_pii(df).first()
+    assert row["Phone"] == md5("+79123456789")
+    assert row["contact"]["Work_Email"] == md5("user@mail.com")
+    assert row["contact"]["note"] == "keep"
+    assert [p["phone_no"] for p in row["people"]] == [md5("+79123456789"), md5("")]
+    assert [p["age"] for p in row["people"]] == [5, 6]
+    assert row["extra"]["a"]["email"] == md5("x@y.z")
+
+
+def test_mask_pii_options(spark):
+    df = spark.createDataFrame([(None, 89123456789)], "email string, phone long")
+    row = privacy.mask_pii(df, keep_null=True, salt="s").first()
+    assert row["email"] is None
+    assert row["phone"] == hashlib.sha256(b"s+79123456789").hexdigest()
+    assert privacy.mask_pii(df).first()["email"] == md5("")
+
+
+def test_text_conversions(spark):
+    assert values(spark, ["1.5", "x", "", None, "12d", "-3"], convert.to_double) == [1.5, None, None, None, None, -3.0]
+    assert values(spark, ["0", "65535", "65536", "-5", "7.0", None], convert.to_uint16) == [0, 65535, None, None, None, None]
+    assert values(spark, ["2024-02-29", "2023-02-29", "2024", "unknown", None], convert.to_day) == [
+        date(2024, 2, 29), None, None, None, None]
+    assert values(
+        spark, ["2024-01-05T10:11:12.123456", "2024-01-05 10:11:12", "2024-01-05T10:11:12Z", "yesterday", None], convert.to_moment
+    ) == [datetime(2024, 1, 5, 10, 11, 12, 123456), datetime(2024, 1, 5, 10, 11, 12), datetime(2024, 1, 5, 10, 11, 12), None, None]
+
+
+def test_iso_text_matches_isoformat(spark):
+    moments = [datetime(2024, 1, 5), datetime(2024, 1, 5, 1, 2, 3, 4000), datetime(1999, 12, 31, 23, 59, 59, 1), None]
+    assert values(spark, moments, convert.iso_text, "timestamp") == [m and m.isoformat() for m in moments]
+
+
+def test_monday_is_first(spark):
+    days = [date(2024, 1, d) for d in range(1, 8)]
+    assert values(spark, days, convert.monday_first, "date") == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_flag_treats_unknown_as_no(spark):
+    assert values(spark, [1, 0, None], lambda c: convert.flag(c > 0), "int") == [1, 0, 0]
+
+
+def test_snake_case():
+    assert snake_case("Transaction ID") == "transaction_id"
+    assert snake_case("  Price-Per  Unit, $ ") == "price_per_unit"
+    assert snake_case("already_snake") == "already_snake"
+
+
+def test_row_hash_tells_null_and_shift_apart(spark):
+    df = spark.createDataFrame(
+        [(None, "a"), ("a", None), ("", "a"), ("a", ""), ("a", "b"), ("a", "b")], "x string, y string"
+    )
+    hashes = [r[0] for r in df.select(row_hash(df.schema, ["x", "y"])).collect()]
+    assert len(set(hashes)) == 5
+    assert hashes[4] == hashes[5]
+
+
+def test_unescape_matches_the_standard_library(spark):
+    texts = ["a &amp;lt; b", "&quot;x&quot; &copy; 2024", "&#8364;5 &#x20AC;6", "&unknown; & ;", "plain", "&apos;&nbsp;&amp;", None]
+    assert values(spark, texts, html.unescape) == [t and reference_unescape(t) for t in texts]
+
+
+BASES = ["http://a.example/b/c/d.html?q=1#f", "https://a.example", "http://a.example:8080/x/"]
+HREFS = [
+    "g", "/g", "./g", "../g", "../../g", "g/../h", "?y=2", "//other.example/z", "https://x.example/p", "mailto:a@b.c",
+    "g?x=1#s", "g/", "/../g", "..", ".", "/a/./b/../c", "",
+]
+
+
+def test_resolve_matches_urljoin(spark):
+    pairs = [(b, h) for b in BASES for h in HREFS if h]
+    df = spark.createDataFrame([(i, b, h) for i, (b, h) in enumerate(pairs)], "i int, b string, h string")
+    got = [r[0] for r in df.orderBy("i").select(html.resolve(F.col("b"), F.col("h"))).collect()]
+    for (base, href), found in zip(pairs, got):
+        assert found == urljoin(base, href), (base, href)
+
+
+def test_authority_matches_netloc(spark):
+    urls = ["http://u@h.example:80/x", "https://h.example?q", "mailto:a@b", "/path", "http://h.example#f"]
+    assert values(spark, urls, html.authority) == [urlsplit(u).netloc for u in urls]
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<a href='/x'>1</a><A class=\"b\" HREF=\"y\">2</A>", ["/x", "y"]),
+        ("<!-- <a href='/no'></a> --><script>'<a href=\"/no\">'</script><a id=1 href=z>3</a>", ["z"]),
+        ("<a data-href='/no'>x</a><abbr href='/no'></abbr>", []),
+        ("<a href='/q?a=1&amp;b=2'>x</a>", ["/q?a=1&b=2"]),
+    ],
+)
+def test_hrefs(spark, page, expected):
+    assert values(spark, [page], html.hrefs) == [expected]
