@@ -39,7 +39,10 @@ def read_json_documents(
     )
     names = [f"`{f.name}`" for f in wanted]
     documents = everything.where(F.col(BROKEN).isNull()).select(*names)
-    broken = everything.where(F.col(BROKEN).isNotNull()).select(
+    # The reader refuses queries that need nothing but the text of broken records,
+    # so the condition also looks at what could be read of them.
+    readable = F.length(F.concat_ws("", *[F.to_json(F.struct(n)) for n in names])) >= 0
+    broken = everything.where(F.col(BROKEN).isNotNull() & readable).select(
         F.col(BROKEN).alias("text"), F.col("_metadata.file_path").alias("file")
     )
     return documents, broken

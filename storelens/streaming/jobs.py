@@ -182,7 +182,8 @@ def csv_folder_stream(
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
         cached = clean.keep(batch)
-        source = F.element_at(F.split("_file", "/"), -1)
+        name = F.element_at(F.split("_file", "/"), -1)
+        source = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
         rows = clean.drop_incomplete(cached).withColumn("source_file", source).drop("_file")
         (
             rows.write.mode("overwrite")

@@ -1,0 +1,173 @@
+"""Streams against their batch form, replays and restarts."""
+
+import json
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from storelens.operators import documents, relay, rollup
+from storelens.sources import messages
+from storelens.sources.specs import PURCHASES, RAW_SCHEMA
+from storelens.streaming import jobs, store
+
+
+def send(spark, rows, channel):
+    df = spark.createDataFrame([(None, r) for r in rows], messages.MESSAGE_SCHEMA)
+    messages.write_messages(df, channel)
+
+
+def test_landing_and_typing_survive_replays(spark, tmp_path):
+    root = str(tmp_path)
+    channel = {"format": "json", "path": f"{root}/topic"}
+    first = [json.dumps({"_id": str(i), "purchase_id": f"P{i % 6}"}) for i in range(12)] + ["{bad", ""]
+    send(spark, first, channel)
+
+    def run(attempt):
+        stream = messages.stream_messages(spark, channel)
+        jobs.stream_raw(stream, f"{root}/raw", f"{root}/rejects", f"{root}/land{attempt}").awaitTermination()
+        raw = jobs.read_raw_stream(spark, f"{root}/raw")
+        jobs.stream_parse(raw, PURCHASES, f"{root}/typed", f"{root}/parse{attempt}").awaitTermination()
+
+    def typed():
+        return store.read_store(spark, f"{root}/typed", PURCHASES.schema)
+
+    run("")
+    assert sorted(r["purchase_id"] for r in typed().collect()) == [f"p{i}" for i in range(6)]
+    assert {r["value"] for r in spark.read.parquet(f"{root}/rejects").collect()} == {"{bad", ""}
+    run("")
+    assert typed().count() == 6
+    send(spark, [json.dumps({"_id": "99", "purchase_id": "P3"}), json.dumps({"_id": "98", "purchase_id": "new"})], channel)
+    run("")
+    assert typed().count() == 7
+    run("-from-the-start")
+    assert typed().count() == 7
+    raw_rows = store.read_store(spark, f"{root}/raw", RAW_SCHEMA)
+    batch = documents.parse_documents(raw_rows, PURCHASES).select("row_hash").distinct()
+    assert batch.exceptAll(typed().select("row_hash")).isEmpty()
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    df = spark.createDataFrame([(1,), (2,)], "id long")
+    for _ in range(2):
+        store.write_batch(df, path, "r1", 0)
+    store.write_batch(df, path, "r2", 0)
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    assert store.read_store(spark, path, schema).count() == 4
+    assert store.read_store(spark, path, schema, without=("r1", 0)).count() == 2
+    assert store.read_store(spark, f"{tmp_path}/none", schema) is None
+
+
+def test_run_belongs_to_its_checkpoint(spark, tmp_path):
+    one, two = f"{tmp_path}/c1", f"{tmp_path}/c2"
+    assert store.run_id(spark, one) == store.run_id(spark, one) != store.run_id(spark, two)
+
+
+def test_event_states_stream_equals_batch(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = [(i % 7, "buy" if i % 2 else "view", i, start + timedelta(hours=i)) for i in range(100)]
+    events = spark.createDataFrame(rows, "user_id long, event_type string, points_spent long, event_time timestamp")
+    events.repartition(5).write.parquet(f"{tmp_path}/events")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/events")
+    jobs.stream_event_states(source, f"{tmp_path}/states", f"{tmp_path}/c").awaitTermination()
+    states = store.read_store(spark, f"{tmp_path}/states", jobs.STATE_SCHEMA)
+    assert states.count() > 5 * 2
+    assert rollup.merge_states(states).collect() == rollup.exact_rollup(events).collect()
+
+
+def test_sketch_error_is_bounded(spark):
+    events = spark.range(20000).select(
+        F.col("id").alias("user_id"), F.lit("e").alias("event_type"), F.lit(1).cast("long").alias("points_spent"),
+        F.lit(datetime(2024, 1, 1)).alias("event_time"),
+    )
+    found = rollup.merge_states(rollup.event_states(events)).first()["unique_users"]
+    assert abs(found - 20000) / 20000 < 0.05
+
+
+LOGINS = [
+    (1, 1, "login"), (2, 2, "registration"), (3, 1, "purchase"), (4, 3, "login"),
+    (5, 2, "logout"), (6, 1, "logout"), (7, 4, "registration"), (8, 3, "purchase"),
+]
+
+
+def test_login_relay_end_to_end(spark, tmp_path):
+    root = str(tmp_path)
+    moments = [datetime(2024, 1, 1, 8, i) if i != 5 else None for i in range(8)]
+    rows = [(*row, at) for row, at in zip(LOGINS, moments)]
+    logins = spark.createDataFrame(rows, "id long, user_id long, event_type string, event_timestamp timestamp")
+    logins.write.parquet(f"{root}/source")
+    channel = {"format": "json", "path": f"{root}/topic"}
+
+    def relay_once(attempt):
+        source = spark.readStream.schema(logins.schema).parquet(f"{root}/source")
+        jobs.stream_relay(source, channel, f"{root}/ledger", f"{root}/relay{attempt}").awaitTermination()
+
+    relay_once(1)
+    relay_once(2)
+    assert messages.read_messages(spark, channel).count() == 8
+    resent = ['{"id":1,"user_id":1,"event_type":"login","event_timestamp":"2024-01-01T08:00:00Z"}', "{bad", '{"user_id":1}',
+              '{"id":9,"user_id":1,"event_type":"login","event_timestamp":"soon"}', '{"id":-1,"user_id":1,"event_type":"login"}']
+    send(spark, resent, channel)
+    stream = messages.stream_messages(spark, channel)
+    jobs.consume_logins(stream, f"{root}/out", f"{root}/bad", f"{root}/consume").awaitTermination()
+    stored = store.read_store(spark, f"{root}/out", jobs.TYPED_LOGIN_SCHEMA)
+    got = [tuple(r)[:4] for r in stored.orderBy("id").collect()]
+    assert got == rows
+    assert stored.where("processed_at IS NULL").isEmpty()
+    assert spark.read.parquet(f"{root}/bad").count() == 4
+
+
+def test_unsent_rows_oldest_first(spark):
+    source = spark.createDataFrame(
+        [(i, i, "login", None if i == 1 else datetime(2024, 1, 1) - timedelta(days=i)) for i in range(6)],
+        "id long, user_id long, event_type string, event_timestamp timestamp",
+    )
+    ledger = spark.createDataFrame([(5,), (0,)], "id long")
+    assert [r["id"] for r in relay.read_unsent(source, ledger, 3).collect()] == [4, 3, 2]
+    assert [r["id"] for r in relay.read_unsent(source, None, 10).collect()] == [5, 4, 3, 2, 0, 1]
+    message = json.loads(relay.login_messages(source.where("id = 1")).first()["value"])
+    assert message == {"id": 1, "user_id": 1, "event_type": "login", "event_timestamp": None}
+
+
+def test_csv_folder(spark, tmp_path):
+    folder, out, archive = (tmp_path / n for n in ("in", "out", "archive"))
+    folder.mkdir()
+    (folder / "one file.csv").write_text("ds, member\n2025-01-01, zzzzz\n2025-01-02,\n", encoding="utf-8")
+    (folder / "notes.txt").write_text("not a table", encoding="utf-8")
+    schema = T.StructType([T.StructField("ds", T.StringType()), T.StructField("member", T.StringType())])
+
+    def run():
+        jobs.csv_folder_stream(spark, str(folder), str(out), str(archive), schema, str(tmp_path / "c")).awaitTermination()
+        return sorted(tuple(r) for r in spark.read.option("header", True).csv(str(out)).select("ds", "member", "source_file").collect())
+
+    assert run() == [("2025-01-01", "zzzzz", "one file.csv")]
+    assert sorted(p.name for p in folder.iterdir()) == ["notes.txt"]
+    assert [p.name for p in archive.iterdir() if not p.name.startswith(".")] == ["one file.csv"]
+    (folder / "two.csv").write_text("ds, member\n2025-02-01,b\n", encoding="utf-8")
+    assert run() == [("2025-01-01", "zzzzz", "one file.csv"), ("2025-02-01", "b", "two.csv")]
+
+
+def test_count_watch_fires_over_the_limit(spark, tmp_path):
+    spark.range(10).repartition(2).write.parquet(f"{tmp_path}/t")
+    source = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/t")
+    jobs.watch_counts(source, 7, f"{tmp_path}/checks", f"{tmp_path}/c").awaitTermination()
+    checks = spark.read.parquet(f"{tmp_path}/checks").orderBy("row_count").collect()
+    assert [(r["row_count"], r["firing"]) for r in checks][-1] == (10, True)
+    assert checks[0]["firing"] is False
+
+
+def test_expired_days_are_removed(spark, tmp_path):
+    path = str(tmp_path / "days")
+    spark.createDataFrame([("20240101", 1), ("20240102", 2), ("20240103", 3)], "ds string, x int").write.partitionBy("ds").parquet(path)
+    assert store.expire(spark, path, "ds", "20240103") == 2
+    assert [r["x"] for r in spark.read.parquet(path).collect()] == [3]
+
+
+def test_ttl_border(spark):
+    now = datetime(2024, 1, 31)
+    df = spark.createDataFrame([(now - timedelta(days=30),), (now - timedelta(days=30) + timedelta(seconds=1),)], "event_time timestamp")
+    assert rollup.apply_ttl(df, "event_time", 30, now).count() == 1
+    days = df.select(F.to_date("event_time").alias("d"))
+    assert rollup.apply_ttl(days, "d", 30, now).count() == 0
+    assert rollup.apply_ttl(days, "d", 31, now).count() == 2
