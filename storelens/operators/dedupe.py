@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from storelens.session import materialize
 from storelens.sources.specs import TableSpec
 
-BROADCAST_HASHES = 500_000
+BROADCAST_KEYS = 500_000
 
 
 def unique_rows(parsed: DataFrame, spec: TableSpec) -> DataFrame:
@@ -24,22 +24,28 @@ def unique_rows(parsed: DataFrame, spec: TableSpec) -> DataFrame:
     return parsed.groupBy(*kept).agg(*first).select(*parsed.columns)
 
 
-def new_rows(
-    batch: DataFrame, target: DataFrame | None, broadcast_hashes: int = BROADCAST_HASHES
+def absent(
+    batch: DataFrame, target: DataFrame | None, key: str, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
-    """Rows of ``batch`` whose hash is not in ``target``; the batch is counted, so cache it.
+    """Rows of ``batch`` whose key is not in ``target``; the batch is counted, so cache it.
 
-    The hashes of a small batch are sent to the target scan, which then needs no
-    shuffle and gives back no more hashes than the batch has. A large batch is
-    matched by a shuffled anti join of the hash column.
+    Keys are numbers or hashes, so their count bounds their size. Those of a small
+    batch are sent to the target scan, which then needs no shuffle and gives back no
+    more keys than the batch has. A large batch is matched by a shuffled anti join.
     """
     if target is None:
         return batch
-    stored = target.select("row_hash")
-    if batch.count() <= broadcast_hashes:
-        wanted = F.broadcast(batch.select("row_hash"))
-        stored = F.broadcast(stored.join(wanted, "row_hash", "left_semi").distinct())
-    return batch.join(stored, "row_hash", "left_anti").select(*batch.columns)
+    stored = target.select(key)
+    if batch.count() <= broadcast_keys:
+        wanted = F.broadcast(batch.select(key))
+        stored = F.broadcast(stored.join(wanted, key, "left_semi").distinct())
+    return batch.join(stored, key, "left_anti").select(*batch.columns)
+
+
+def new_rows(
+    batch: DataFrame, target: DataFrame | None, broadcast_keys: int = BROADCAST_KEYS
+) -> DataFrame:
+    return absent(batch, target, "row_hash", broadcast_keys)
 
 
 def load_new(parsed: DataFrame, spec: TableSpec, target: DataFrame | None) -> DataFrame:

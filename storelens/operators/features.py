@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.convert import flag
+from storelens.operators.lookup import sized_join
 
 # Product groups as they are named in the documents.
 PRODUCT_GROUPS = {
@@ -92,7 +93,7 @@ def mark_organic(purchases: DataFrame, products: DataFrame) -> DataFrame:
         ).alias("product_id"),
     ).distinct()
     organic = products.where("is_organic").select("product_id").distinct()
-    hits = pairs.join(organic, "product_id", "left_semi").select("purchase_id").distinct()
+    hits = sized_join(pairs, organic, ["product_id"], "left_semi").select("purchase_id").distinct()
     marked = purchases.join(hits.withColumn("has_organic", F.lit(True)), "purchase_id", "left")
     return marked.withColumn("has_organic", F.coalesce("has_organic", F.lit(False)))
 

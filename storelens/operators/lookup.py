@@ -8,31 +8,39 @@ from pyspark.sql import types as T
 
 from storelens.session import materialize
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 64
 SALTS = 64
 TOP_IN_ONE_MERGE = 1_000_000
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Upper estimate of the size of ``df`` in a hash table: its text and an overhead per row."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns))) + ROW_OVERHEAD
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
+
 def sized_join(
     facts: DataFrame,
     keyed: DataFrame,
     keys: list[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    stored: bool = False,
 ) -> DataFrame:
     """Left, semi or anti join on ``keys``, which must be unique in ``keyed``.
 
-    ``keyed`` is written once and counted. Up to ``broadcast_rows`` narrow rows it
-    is broadcast. Beyond that each of its rows is repeated per salt and the facts
-    are spread over the salts by their content, so that one frequent key is shared
-    by many tasks; full copies of one row meet in one salt, which the adaptive skew
-    join can then split.
+    ``keyed`` is written once, unless it is ``stored`` already, and measured. Up to
+    ``broadcast_bytes`` it is broadcast. Beyond that each of its rows is repeated per
+    salt and the facts are spread over the salts by their content, so that one
+    frequent key is shared by many tasks; full copies of one row meet in one salt,
+    which the adaptive skew join can then split.
     """
-    stored = materialize(keyed)
-    if stored.count() <= broadcast_rows:
-        return facts.join(F.broadcast(stored), keys, how)
-    salted = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keyed = keyed if stored else materialize(keyed)
+    if measured_bytes(keyed) <= broadcast_bytes:
+        return facts.join(F.broadcast(keyed), keys, how)
+    salted = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hashable = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     spread = facts.withColumn(
         "_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")

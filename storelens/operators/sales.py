@@ -36,21 +36,24 @@ def recover_quantity(df: DataFrame) -> DataFrame:
 
 
 def item_dictionary(df: DataFrame) -> DataFrame:
-    """One item per (category, price): the greatest known name."""
-    return df.groupBy("category", "price_per_unit").agg(F.max("item").alias("known_item"))
+    """One item per (category, price): the greatest known name.
+
+    Distinct rows first: they are hashed and combined before the shuffle, while
+    ``max`` over text has to sort its input.
+    """
+    names = df.select("category", "price_per_unit", "item").distinct()
+    return names.groupBy("category", "price_per_unit").agg(F.max("item").alias("known_item"))
 
 
 def recover_item(
     df: DataFrame,
-    broadcast_rows: int = lookup.BROADCAST_ROWS,
+    broadcast_bytes: int = lookup.BROADCAST_BYTES,
     salts: int = lookup.SALTS,
 ) -> DataFrame:
     """Missing items from the dictionary; rows without category or price stay as they are."""
     named = df.where("item IS NOT NULL AND category IS NOT NULL AND price_per_unit IS NOT NULL")
-    # Distinct names first: max() over text would sort all rows instead of hashing them.
-    names = named.select("category", "price_per_unit", "item").distinct()
     found = lookup.sized_join(
-        df, item_dictionary(names), ["category", "price_per_unit"], "left", broadcast_rows, salts
+        df, item_dictionary(named), ["category", "price_per_unit"], "left", broadcast_bytes, salts
     )
     return found.withColumn("item", F.coalesce("item", "known_item")).select(*df.columns)
 
@@ -117,7 +120,7 @@ def price_ranks(df: DataFrame) -> DataFrame:
 def rank_prices(df: DataFrame) -> DataFrame:
     """Distinct (category, item, price) rows with the rank of the price in its category."""
     rows = df.select("category", "item", "price_per_unit").distinct()
-    ranks = price_ranks(df).withColumnsRenamed(
+    ranks = price_ranks(rows).withColumnsRenamed(
         {"category": "_category", "price_per_unit": "_price"}
     )
     matched = F.col("category").eqNullSafe(F.col("_category")) & F.col("price_per_unit").eqNullSafe(F.col("_price"))

@@ -119,10 +119,11 @@ def stream_relay(
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
         sent = store.read_store(batch.sparkSession, ledger, SENT_SCHEMA, (run, number))
-        ready = clean.keep(relay.not_sent(batch.dropDuplicates(["id"]), sent))
+        rows = clean.keep(batch.dropDuplicates(["id"]))
+        ready = dedupe.absent(rows, sent, "id")
         messages.write_messages(relay.login_messages(ready), channel)
         mark_sent(ready, ledger, run, number)
-        ready.unpersist()
+        rows.unpersist()
 
     return _each_batch(logins, checkpoint, handle, trigger)
 
@@ -141,10 +142,10 @@ def consume_logins(
         spark = batch.sparkSession
         cached = clean.keep(batch)
         stored = store.read_store(spark, target, TYPED_LOGIN_SCHEMA, (run, number))
-        rows = relay.latest_copy(relay.parse_logins(cached))
-        fresh = relay.not_sent(rows, stored)
-        store.write_batch(fresh, target, run, number)
+        rows = clean.keep(relay.latest_copy(relay.parse_logins(cached)))
+        store.write_batch(dedupe.absent(rows, stored, "id"), target, run, number)
         store.write_batch(relay.rejected_logins(cached), rejects, run, number)
+        rows.unpersist()
         cached.unpersist()
 
     return _each_batch(stream, checkpoint, handle, trigger)

@@ -92,7 +92,7 @@ def test_new_rows_both_ways_agree(spark):
     stored = [json.dumps({"purchase_id": str(i)}) for i in range(5)]
     batch = dedupe.unique_rows(documents.parse_documents(texts(spark, incoming), PURCHASES), PURCHASES)
     target = documents.parse_documents(texts(spark, stored), PURCHASES)
-    wide = dedupe.new_rows(batch, target, broadcast_hashes=0)
+    wide = dedupe.new_rows(batch, target, broadcast_keys=0)
     narrow = dedupe.new_rows(batch, target)
     ids = sorted(int(r["purchase_id"]) for r in narrow.collect())
     assert ids == list(range(5, 20))

@@ -59,7 +59,7 @@ def test_quantity_is_truncated(spark):
 
 def test_salted_lookup_equals_broadcast_lookup(spark):
     base = sales.recover_price(view(spark, SF_DIR, "v_sales"))
-    plain, salted = sales.recover_item(base), sales.recover_item(base, broadcast_rows=0, salts=4)
+    plain, salted = sales.recover_item(base), sales.recover_item(base, broadcast_bytes=0, salts=4)
     assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
 
 
@@ -68,7 +68,7 @@ def test_sized_join_semi_and_anti(spark):
     keyed = spark.range(3).select(F.col("id").alias("k"))
     for how, size in (("left_semi", 30), ("left_anti", 70)):
         assert sized_join(facts, keyed, ["k"], how).count() == size
-        assert sized_join(facts, keyed, ["k"], how, broadcast_rows=0, salts=3).count() == size
+        assert sized_join(facts, keyed, ["k"], how, broadcast_bytes=0, salts=3).count() == size
 
 
 def test_smallest_from_a_global_sort(spark):
