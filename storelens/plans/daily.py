@@ -8,10 +8,11 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from storelens.operators import archive
 from storelens.operators.features import FeatureConfig, customer_features
 from storelens.session import build_session
 from storelens.sources.files import latest_partition, read_latest_partition
-from storelens.sources.sinks import export_single_csv, write_partition
+from storelens.sources.sinks import export_single_csv, write_archive_report, write_partition
 from storelens.sources.tables import read_table
 
 
@@ -44,6 +45,20 @@ def run_report(spark: SparkSession, path_in: str, directory: str, name: str) ->
     return export_single_csv(report, directory, f"{name}_{newest}")
 
 
+def run_archive(
+    spark: SparkSession, events_path: str, root: str, now: datetime
+) -> str | None:
+    """Split the stored events into ``root/events/archived=true|false`` in one pass and report.
+
+    The source stays as it is; the caller replaces it once the split has been written.
+    """
+    events = spark.read.parquet(events_path)
+    tagged = archive.tag_archived(events, archive.inactive_users(events, now))
+    tagged.write.mode("overwrite").partitionBy("archived").parquet(f"{root}/events")
+    written = spark.read.parquet(f"{root}/events").where("archived")
+    return write_archive_report(written, f"{root}/reports", now)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="storelens")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -55,12 +70,18 @@ def main(argv: list[str] | None = None) -> None:
     report.add_argument("--path-in", required=True)
     report.add_argument("--directory", required=True)
     report.add_argument("--file-name", required=True)
+    cleanup = jobs.add_parser("archive")
+    cleanup.add_argument("--events-path", required=True)
+    cleanup.add_argument("--root", required=True)
+    cleanup.add_argument("--now", required=True, help="ISO time of the run")
     args = parser.parse_args(argv)
     spark = build_session(f"storelens-{args.job}")
     if args.job == "features":
         run_features(spark, args.table_in, args.path_out, args.ds)
-    else:
+    elif args.job == "report":
         run_report(spark, args.path_in, args.directory, args.file_name)
+    else:
+        run_archive(spark, args.events_path, args.root, datetime.fromisoformat(args.now))
 
 
 if __name__ == "__main__":

@@ -127,6 +127,17 @@ def _sketch_rollup(df: DataFrame) -> DataFrame:
     return rollup.merge_states(rollup.event_states(df))
 
 
+def _sketch_error(df: DataFrame) -> DataFrame:
+    """Per day and type whether the sketched user count is within 5 percent of the exact one."""
+    exact = rollup.exact_rollup(df).select("event_date", "event_type", F.col("unique_users").alias("exact_users"))
+    both = _sketch_rollup(df).join(exact, ["event_date", "event_type"])
+    error = F.abs(F.col("unique_users") - F.col("exact_users"))
+    return both.select(
+        "event_date", "event_type", "total_spent", "total_actions", "exact_users",
+        (error <= 0.05 * F.col("exact_users")).alias("within_bound"),
+    )
+
+
 def _audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_changes(
         view(spark, sf, "v_users_old"), view(spark, sf, "v_users_new"), changed_at=EVENTS_NOW
@@ -351,6 +362,7 @@ def queries() -> dict[str, Query]:
         "latest_partition_report": _latest_report,
         "event_rollup_exact": _over("v_events", rollup.exact_rollup),
         "event_rollup_sketch": _over("v_events", _sketch_rollup),
+        "event_sketch_error": _over("v_events", _sketch_error),
         "event_states_stream": _states_stream,
         "event_ttl": _event_ttl,
         "retention_daily": _over("v_events", retention.retention_daily),

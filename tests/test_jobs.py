@@ -74,6 +74,14 @@ def test_archive_report_file(spark, tmp_path):
     assert sorted(r["user_id"] for r in ids.collect()) == list(range(123, 133))
 
 
+def test_archive_job_splits_in_one_pass(spark, tmp_path):
+    archive_events(spark).write.parquet(f"{tmp_path}/events")
+    target = daily.run_archive(spark, f"{tmp_path}/events", f"{tmp_path}/out", NOW)
+    assert target.endswith("/2025-08-04.json")
+    split = spark.read.parquet(f"{tmp_path}/out/events").groupBy("archived").count().collect()
+    assert {r["archived"]: r["count"] for r in split} == {True: 20, False: 4}
+
+
 def test_nothing_archived_gives_no_report(spark, tmp_path):
     nobody = archive_events(spark).limit(0)
     assert sinks.write_archive_report(nobody, str(tmp_path), NOW) is None
