@@ -61,8 +61,9 @@ class RunTime:
         return cls(day, as_of or datetime.combine(day + timedelta(days=1), time()))
 
     def bought_since(self, days: int) -> Column:
-        """Purchase day within ``days`` before the partition day."""
-        return F.to_date("purchase_datetime") >= F.lit(self.ds - timedelta(days=days))
+        """Purchase day within ``days`` before the partition day, as a bound on the time itself."""
+        start = datetime.combine(self.ds - timedelta(days=days), time())
+        return F.col("purchase_datetime") >= F.lit(start).cast("timestamp")
 
     def within(self, days: int) -> Column:
         """Purchase time within ``days`` before now."""
@@ -107,86 +108,87 @@ def _group_test(config: FeatureConfig, group: str, columns: list[str]) -> Column
     return F.lower(F.col("items")).contains(wanted)
 
 
-def _counted(run: RunTime, config: FeatureConfig, columns: list[str]) -> dict[str, Column]:
-    """Conditions whose matching purchases are counted per customer."""
+def _facts(purchases: DataFrame, run: RunTime, config: FeatureConfig) -> DataFrame:
+    """What the measures look at, worked out once per purchase."""
     bought_at = F.col("purchase_datetime")
-    hour = F.hour(bought_at)
-    weekend = F.dayofweek(bought_at).isin(1, 7)
-    has = {g: _group_test(config, g, columns) for g in PRODUCT_GROUPS}
+    groups = {f"has_{g}": _group_test(config, g, purchases.columns) for g in PRODUCT_GROUPS}
+    return purchases.select(
+        "customer_id",
+        "payment_method",
+        bought_at,
+        F.col("total_amount").alias("amount"),
+        (F.col("is_delivery").cast("int") == 1).alias("delivered"),
+        F.size("cart").alias("cart_size"),
+        F.hour(bought_at).alias("hour"),
+        F.dayofweek(bought_at).isin(1, 7).alias("weekend"),
+        *[run.within(d).alias(f"in_{d}d") for d in (7, 14, 30, 90)],
+        *[test.alias(name) for name, test in groups.items()],
+    )
+
+
+def _counted(run: RunTime) -> dict[str, Column]:
+    """Conditions over ``_facts`` whose matching purchases are counted per customer."""
+    fact = F.col
     counted = {
-        "delivery_purchases": F.col("is_delivery").cast("int") == 1,
-        "cash_purchases": F.col("payment_method") == "cash",
-        "card_purchases": F.col("payment_method") == "card",
-        "weekend_purchases": weekend,
-        "weekday_purchases": ~weekend,
-        "night_purchases": hour >= 20,
-        "morning_purchases": hour < 10,
-        "early_bird_purchases": hour.between(12, 15),
-        "single_item_purchases": F.size("cart") == 1,
+        "delivery_purchases": fact("delivered"),
+        "cash_purchases": fact("payment_method") == "cash",
+        "card_purchases": fact("payment_method") == "card",
+        "weekend_purchases": fact("weekend"),
+        "weekday_purchases": ~fact("weekend"),
+        "night_purchases": fact("hour") >= 20,
+        "morning_purchases": fact("hour") < 10,
+        "early_bird_purchases": fact("hour").between(12, 15),
+        "single_item_purchases": fact("cart_size") == 1,
     }
     for days in (7, 14, 30, 90):
         counted[f"recent_{days}d_purchases"] = run.bought_since(days)
-    for group, test in has.items():
-        counted[f"{group}_purchases"] = test
+    for group in PRODUCT_GROUPS:
+        counted[f"{group}_purchases"] = fact(f"has_{group}")
     for group, days in (
         ("milk", 30), ("fruits", 30), ("fruits", 14), ("veggies", 14), ("meat", 7), ("meat", 90),
     ):
-        counted[f"{group}_purchases_{days}d"] = has[group] & run.within(days)
+        counted[f"{group}_purchases_{days}d"] = fact(f"has_{group}") & fact(f"in_{days}d")
     return counted
 
 
 def _measures(purchases: DataFrame, run: RunTime, config: FeatureConfig) -> DataFrame:
-    amount = F.col("total_amount")
-
-    def mean(value: Column) -> Column:
-        return F.try_divide(F.sum(value).cast("double"), F.count(value))
+    def mean(name: str) -> Column:
+        return F.try_divide(F.sum(name).cast("double"), F.count(name))
 
-    counts = _counted(run, config, purchases.columns)
-    return purchases.groupBy("customer_id").agg(
+    return _facts(purchases, run, config).groupBy("customer_id").agg(
         F.count("*").alias("total_purchases"),
-        mean(amount).alias("avg_cart_value"),
-        F.max(amount).alias("max_cart_value"),
-        F.min(amount).alias("min_cart_value"),
+        mean("amount").alias("avg_cart_value"),
+        F.max("amount").alias("max_cart_value"),
+        F.min("amount").alias("min_cart_value"),
         F.max("purchase_datetime").alias("last_purchase_date"),
         F.min("purchase_datetime").alias("first_purchase_date"),
-        F.sum(F.when(run.within(7), amount)).alias("total_spent_7d"),
-        mean(F.size("cart")).alias("avg_cart_size"),
-        *[F.count_if(test).alias(name) for name, test in counts.items()],
+        F.sum(F.when(F.col("in_7d"), F.col("amount"))).alias("total_spent_7d"),
+        mean("cart_size").alias("avg_cart_size"),
+        *[F.count_if(test).alias(name) for name, test in _counted(run).items()],
     )
 
 
-# What is counted distinctly: kind number, output column, values of one purchase.
-_DISTINCT = (
-    (0, "unique_cities", lambda: F.array(F.col("store_city").cast("string"))),
-    (1, "unique_stores", lambda: F.array(F.col("store_id").cast("string"))),
-    (2, "unique_purchase_days", lambda: F.array(F.to_date("purchase_datetime").cast("string"))),
-    (3, "unique_categories", lambda: F.coalesce("cart", F.array().cast("array<string>"))),
-)
-
-
-def _of_kind(kind: int, values: Column) -> Column:
-    number = F.lit(kind).cast("tinyint").alias("kind")
-    return F.transform(values, lambda v: F.struct(number, v.alias("value")))
-
-
 def _distincts(purchases: DataFrame) -> DataFrame:
-    """Distinct cities, stores, days and categories per customer.
+    """Distinct cities, stores and purchase days per customer.
 
-    (customer, kind, value) triples are made unique first, so that a customer with
-    very many purchases is spread over tasks before anything is counted.
+    Kept apart from the measures, so that only these narrow columns are expanded
+    per counted value. Values are made unique before they are counted, which spreads
+    a customer with very many purchases over tasks.
     """
-    per_kind = [_of_kind(kind, values()) for kind, _, values in _DISTINCT]
-    triples = (
-        purchases.select("customer_id", F.explode(F.concat(*per_kind)).alias("seen"))
-        .select("customer_id", "seen.kind", "seen.value")
-        .where("value IS NOT NULL")
-        .distinct()
-    )
-    return triples.groupBy("customer_id").agg(
-        *[F.count_if(F.col("kind") == kind).alias(name) for kind, name, _ in _DISTINCT]
+    return purchases.groupBy("customer_id").agg(
+        F.countDistinct("store_city").alias("unique_cities"),
+        F.countDistinct("store_id").alias("unique_stores"),
+        F.countDistinct(F.to_date("purchase_datetime")).alias("unique_purchase_days"),
     )
 
 
+def _diversity(purchases: DataFrame) -> DataFrame:
+    """Distinct categories in all carts of a customer."""
+    pairs = purchases.select("customer_id", F.explode(F.array_distinct("cart")).alias("category"))
+    unique = pairs.where("category IS NOT NULL").distinct()
+    return unique.groupBy("customer_id").agg(F.count("*").alias("unique_categories"))
+
+
 def customer_metrics(
     purchases: DataFrame,
     ds: str,
@@ -195,8 +197,8 @@ def customer_metrics(
 ) -> DataFrame:
     """One row per known customer: counts, sums and recency of the purchases.
 
-    All plain measures come from one aggregation and all distinct counts from
-    another; both end up partitioned by customer, so joining them moves no data.
+    Plain measures, distinct values and distinct categories are three aggregations
+    that all end up partitioned by customer, so joining them moves no data.
     """
     config = config or FeatureConfig()
     run = RunTime.of(ds, as_of)
@@ -204,7 +206,11 @@ def customer_metrics(
     if config.bounded:
         known = known.where(F.col("purchase_datetime") <= F.lit(run.as_of).cast("timestamp"))
     carts = with_cart(known, config)
-    metrics = _measures(carts, run, config).join(_distincts(carts), "customer_id", "left")
+    metrics = (
+        _measures(carts, run, config)
+        .join(_distincts(carts), "customer_id", "left")
+        .join(_diversity(carts), "customer_id", "left")
+    )
     numeric = [c for c in metrics.columns if c != "customer_id"]
     return metrics.fillna(0, subset=numeric)
 

@@ -55,7 +55,7 @@ def run_archive(
     events = spark.read.parquet(events_path)
     tagged = archive.tag_archived(events, archive.inactive_users(events, now))
     tagged.write.mode("overwrite").partitionBy("archived").parquet(f"{root}/events")
-    written = spark.read.parquet(f"{root}/events").where("archived")
+    written = spark.read.parquet(f"{root}/events").where("archived = 'true'")
     return write_archive_report(written, f"{root}/reports", now)
 
 

@@ -79,7 +79,7 @@ def test_archive_job_splits_in_one_pass(spark, tmp_path):
     target = daily.run_archive(spark, f"{tmp_path}/events", f"{tmp_path}/out", NOW)
     assert target.endswith("/2025-08-04.json")
     split = spark.read.parquet(f"{tmp_path}/out/events").groupBy("archived").count().collect()
-    assert {r["archived"]: r["count"] for r in split} == {True: 20, False: 4}
+    assert {r["archived"]: r["count"] for r in split} == {"true": 20, "false": 4}
 
 
 def test_nothing_archived_gives_no_report(spark, tmp_path):
