@@ -222,8 +222,9 @@ def _typed_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("string").alias("key"), F.col("full_data").alias("value")
     )
     channel = {"format": "parquet", "path": f"{root}/topic"}
-    for attempt in ("first", "again"):
-        messages.write_messages(sent, channel)
+    for _ in ("first", "again"):
+        # Like a topic with several partitions; the hint also splits uneven ones.
+        messages.write_messages(sent.hint("rebalance"), channel)
         jobs.stream_raw(
             messages.stream_messages(spark, channel),
             f"{root}/raw", f"{root}/rejects", f"{root}/land",

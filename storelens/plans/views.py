@@ -15,6 +15,7 @@ TABLES = (
 
 _PAYMENT = "CASE WHEN o.o_orderpriority IN ('1-URGENT','2-HIGH','3-MEDIUM') THEN 'card' ELSE 'cash' END"
 
+# A cart is one document at the source, which bounds the list of its items.
 _PURCHASES = """
 SELECT o.o_orderkey AS purchase_id, o.o_custkey AS customer_id, i.store_id, n.n_name AS store_city,
   CAST(o.o_totalprice AS DECIMAL(12,2)) AS total_amount, {payment} AS payment_method,
