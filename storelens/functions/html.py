@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _ENTITY_CUT = r"(?=&#?[A-Za-z0-9]{1,30};)|(?<=&#?[A-Za-z0-9]{1,30};)"
-_INVISIBLE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# What is never closed reaches to the end of the page, as in a browser.
+_INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 _HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
 _BASE = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
 
@@ -64,7 +65,7 @@ def first_inner(html: Column, tag: str, classes: tuple[str, ...] = ()) -> Column
         for c in classes
     )
     pattern = rf"(?is)<{tag}(?=[\s>]){guards}[^>]*>(.*?)</{tag}\s*>"
-    return F.try_element_at(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), F.lit(1))
+    return F.regexp_extract(F.regexp_substr(html, F.lit(pattern)), pattern, 1)
 
 
 def all_inner(html: Column, tag: str) -> Column:

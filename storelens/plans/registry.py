@@ -13,7 +13,9 @@ from storelens.functions.privacy import mask_pii, normalize_phone
 from storelens.operators import (
     archive, audit, clean, dedupe, documents, quality, relay, retention, rollup, sales, web,
 )
-from storelens.operators.features import FeatureConfig, customer_features, customer_metrics
+from storelens.operators.features import (
+    FeatureConfig, customer_features, customer_metrics, mark_organic,
+)
 from storelens.plans.daily import features_schema
 from storelens.plans.views import table, view
 from storelens.session import ensure_checkpoint_dir
@@ -215,6 +217,17 @@ def _dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe.load_new(incoming, PURCHASES, stored).select("row_hash", "purchase_id")
 
 
+def _typed_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """From JSON documents to metrics: unique purchases with JSON carts and organic products."""
+    typed = documents.parse_documents(view(spark, sf, "v_raw_purchases"), PURCHASES)
+    products = documents.parse_documents(view(spark, sf, "v_raw_products"), PRODUCTS)
+    marked = mark_organic(dedupe.unique_rows(typed, PURCHASES), products)
+    return customer_metrics(marked, RUN_DS).select(
+        "customer_id", "total_purchases", "card_purchases", "delivery_purchases", "unique_stores",
+        "milk_purchases", "organic_purchases", "avg_cart_size", "single_item_purchases", "unique_categories",
+    )
+
+
 def _typed_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Messages through landing and typing as streams; everything arrives twice."""
     root = scratch(spark)
@@ -392,7 +405,10 @@ def queries() -> dict[str, Query]:
         ),
         "threshold_stream": _counts_stream,
         "status_steps": _status,
-        "expected_counts": lambda spark, sf: quality.expected_count(table(spark, sf, "nation"), 25),
+        "expected_counts": lambda spark, sf: quality.expected_count(
+            table(spark, sf, "orders"), quality.EXPECTED_COUNTS["purchases"]
+        ),
+        "typed_customer_metrics": _typed_metrics,
         "csv_folder_stream": _folder_stream,
         "clean_counts": _over("v_folder", clean.clean_counts),
         "page_links": _links,
