@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storelens.session import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
-SALTS = 64
+HOT_KEYS = 1000
+SAMPLE = 0.01
 TOP_IN_ONE_MERGE = 1_000_000
 
 
@@ -20,32 +22,46 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
+def frequent_keys(facts: DataFrame, keys: list[str], n: int, sample: float) -> DataFrame:
+    """The ``n`` keys seen most often in a sample, written once so that every use agrees."""
+    complete = facts.select(*keys).na.drop("any")
+    counted = complete.sample(sample, seed=7).groupBy(*keys).count()
+    top = counted.orderBy(F.desc("count"), *keys).limit(n)
+    return materialize(top.select(*keys))
+
+
 def sized_join(
     facts: DataFrame,
     keyed: DataFrame,
     keys: list[str],
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    hot_keys: int = HOT_KEYS,
+    sample: float = SAMPLE,
     stored: bool = False,
 ) -> DataFrame:
     """Left, semi or anti join on ``keys``, which must be unique in ``keyed``.
 
     ``keyed`` is written once, unless it is ``stored`` already, and measured. Up to
-    ``broadcast_bytes`` it is broadcast. Beyond that each of its rows is repeated per
-    salt and the facts are spread over the salts by their content, so that one
-    frequent key is shared by many tasks; full copies of one row meet in one salt,
-    which the adaptive skew join can then split.
+    ``broadcast_bytes`` it is broadcast whole. Beyond that the rows of the most
+    frequent keys, at most ``hot_keys`` of them, meet their part of ``keyed`` without
+    a shuffle, rows with a NULL key meet nothing, and only the others are shuffled.
+    Which keys count as frequent changes the way taken, never the result.
     """
     keyed = keyed if stored else materialize(keyed)
     if measured_bytes(keyed) <= broadcast_bytes:
         return facts.join(F.broadcast(keyed), keys, how)
-    salted = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hashable = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spread = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
-    )
-    return spread.join(salted, [*keys, "_salt"], how).drop("_salt")
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    hot = F.broadcast(frequent_keys(facts, keys, hot_keys, sample))
+    hot_keyed = materialize(keyed.join(hot, keys, "left_semi"))
+    if measured_bytes(hot_keyed) <= BROADCAST_BYTES:
+        hot_keyed = F.broadcast(hot_keyed)
+    often = facts.join(hot, keys, "left_semi").join(hot_keyed, keys, how)
+    seldom = facts.where(complete).join(hot, keys, "left_anti").join(keyed, keys, how)
+    joined = often.unionByName(seldom)
+    if how == "left_semi":
+        return joined
+    return joined.unionByName(facts.where(~complete), allowMissingColumns=True)
 
 
 def smallest(df: DataFrame, column: str, n: int, in_one_merge: int = TOP_IN_ONE_MERGE) -> DataFrame:

@@ -45,16 +45,11 @@ def item_dictionary(df: DataFrame) -> DataFrame:
     return names.groupBy("category", "price_per_unit").agg(F.max("item").alias("known_item"))
 
 
-def recover_item(
-    df: DataFrame,
-    broadcast_bytes: int = lookup.BROADCAST_BYTES,
-    salts: int = lookup.SALTS,
-) -> DataFrame:
+def recover_item(df: DataFrame, broadcast_bytes: int = lookup.BROADCAST_BYTES) -> DataFrame:
     """Missing items from the dictionary; rows without category or price stay as they are."""
     named = df.where("item IS NOT NULL AND category IS NOT NULL AND price_per_unit IS NOT NULL")
-    found = lookup.sized_join(
-        df, item_dictionary(named), ["category", "price_per_unit"], "left", broadcast_bytes, salts
-    )
+    keys = ["category", "price_per_unit"]
+    found = lookup.sized_join(df, item_dictionary(named), keys, "left", broadcast_bytes)
     return found.withColumn("item", F.coalesce("item", "known_item")).select(*df.columns)
 
 

@@ -57,18 +57,25 @@ def test_quantity_is_truncated(spark):
     assert row["quantity"] == 3 and row["total_spent"] == D("9.00")
 
 
-def test_salted_lookup_equals_broadcast_lookup(spark):
+def test_large_dictionary_gives_the_same_items(spark):
     base = sales.recover_price(view(spark, SF_DIR, "v_sales"))
-    plain, salted = sales.recover_item(base), sales.recover_item(base, broadcast_bytes=0, salts=4)
-    assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
-
-
-def test_sized_join_semi_and_anti(spark):
-    facts = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
-    keyed = spark.range(3).select(F.col("id").alias("k"))
-    for how, size in (("left_semi", 30), ("left_anti", 70)):
-        assert sized_join(facts, keyed, ["k"], how).count() == size
-        assert sized_join(facts, keyed, ["k"], how, broadcast_bytes=0, salts=3).count() == size
+    small, large = sales.recover_item(base), sales.recover_item(base, broadcast_bytes=0)
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+
+
+def test_sized_join_takes_every_way_to_the_same_rows(spark):
+    # A third of the rows has key 0, some have no key, keys 7 to 9 are not in the dictionary.
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 11 != 0, F.col("id") % 10)
+    facts = spark.range(300).select(key.cast("long").alias("k"), F.lit("x").alias("v"))
+    keyed = spark.range(7).select(F.col("id").alias("k"), F.concat(F.lit("name "), "id").alias("name"))
+    for how, side in (("left", keyed), ("left_semi", keyed.select("k")), ("left_anti", keyed.select("k"))):
+        expected = facts.join(side, ["k"], how)
+        assert expected.count() > 0
+        for hot_keys in (0, 1, 3, 100):
+            got = sized_join(facts, side, ["k"], how, broadcast_bytes=0, hot_keys=hot_keys, sample=1.0)
+            assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty(), (how, hot_keys)
+        got = sized_join(facts, side, ["k"], how)
+        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
 
 
 def test_smallest_from_a_global_sort(spark):
