@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,16 @@ def to_moment(text: Column) -> Column:
     return F.when(text.rlike(TIMESTAMP_SHAPE), text).try_cast("timestamp")
 
 
+def at(moment: datetime | None) -> Column:
+    """Timestamp of a run time, read in the session time zone; None is the current time.
+
+    A datetime literal would be read in the time zone of the driver's machine.
+    """
+    if moment is None:
+        return F.current_timestamp()
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def iso_text(moment: Column) -> Column:
     """ISO text of a timestamp; the fraction appears only when it is not zero."""
     full = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

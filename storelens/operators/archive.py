@@ -7,11 +7,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.functions.convert import at
 from storelens.operators.lookup import sized_join
 
 
 def _before(now: datetime, days: int):
-    return F.lit(now - timedelta(days=days)).cast("timestamp")
+    return at(now - timedelta(days=days))
 
 
 def inactive_users(

@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.functions import convert
+
 AUDITED = ("name", "email", "role")
 EXPORT_COLUMNS = ["user_id", "field_changed", "old_value", "new_value", "changed_by", "changed_at"]
 
@@ -20,7 +22,6 @@ def audit_changes(
     changed_at: datetime | None = None,
 ) -> DataFrame:
     """One row per changed field of each key found in both snapshots."""
-    at = F.current_timestamp() if changed_at is None else F.lit(changed_at).cast("timestamp")
     before = old.select(key, *[F.col(c).cast("string").alias(f"old_{c}") for c in columns])
     after = new.select(key, *[F.col(c).cast("string").alias(f"new_{c}") for c in columns])
     change = F.array(*[
@@ -41,7 +42,7 @@ def audit_changes(
             "user_id",
             "change.*",
             F.lit(actor).alias("changed_by"),
-            at.alias("changed_at"),
+            convert.at(changed_at).alias("changed_at"),
         )
     )
 
@@ -49,5 +50,5 @@ def audit_changes(
 def recent_audit(audit: DataFrame, now: datetime, calendar_day: bool = False) -> DataFrame:
     """Changes of the last 24 hours, or of the calendar day of ``now``, in time order."""
     start = now.replace(hour=0, minute=0, second=0, microsecond=0) if calendar_day else now - timedelta(days=1)
-    fresh = audit.where(F.col("changed_at") >= F.lit(start).cast("timestamp"))
+    fresh = audit.where(F.col("changed_at") >= convert.at(start))
     return fresh.select(*EXPORT_COLUMNS).orderBy("changed_at", "user_id", "field_changed")

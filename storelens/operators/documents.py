@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions import documents
+from storelens.functions import convert, documents
 from storelens.functions.rowhash import row_hash
 from storelens.sources.specs import TableSpec
 
@@ -22,11 +22,10 @@ def check_messages(messages: DataFrame) -> DataFrame:
 
 def landed(checked: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Valid messages as ``(id, full_data, created_at)``; ``as_of`` fixes the arrival time."""
-    arrived = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return checked.where("valid").select(
         F.coalesce("document._id", F.lit("")).alias("id"),
         F.col("value").alias("full_data"),
-        arrived.alias("created_at"),
+        convert.at(as_of).alias("created_at"),
     )
 
 

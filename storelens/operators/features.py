@@ -13,7 +13,7 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions.convert import flag
+from storelens.functions.convert import at, flag
 from storelens.operators.lookup import sized_join
 
 # Product groups as they are named in the documents.
@@ -63,12 +63,12 @@ class RunTime:
     def bought_since(self, days: int) -> Column:
         """Purchase day within ``days`` before the partition day, as a bound on the time itself."""
         start = datetime.combine(self.ds - timedelta(days=days), time())
-        return F.col("purchase_datetime") >= F.lit(start).cast("timestamp")
+        return F.col("purchase_datetime") >= at(start)
 
     def within(self, days: int) -> Column:
         """Purchase time within ``days`` before now."""
         start = self.as_of - timedelta(days=days)
-        return F.col("purchase_datetime") >= F.lit(start).cast("timestamp")
+        return F.col("purchase_datetime") >= at(start)
 
 
 def with_cart(purchases: DataFrame, config: FeatureConfig) -> DataFrame:
@@ -204,7 +204,7 @@ def customer_metrics(
     run = RunTime.of(ds, as_of)
     known = purchases.where(F.col("customer_id").isNotNull())
     if config.bounded:
-        known = known.where(F.col("purchase_datetime") <= F.lit(run.as_of).cast("timestamp"))
+        known = known.where(F.col("purchase_datetime") <= at(run.as_of))
     carts = with_cart(known, config)
     metrics = (
         _measures(carts, run, config)
@@ -228,7 +228,7 @@ def _flags(run: RunTime, config: FeatureConfig) -> dict[str, Column]:
     def share(name: str, limit: float) -> Column:
         return metric(name) >= total * F.lit(float(limit))
 
-    age = F.datediff(F.lit(run.as_of).cast("timestamp"), metric("first_purchase_date"))
+    age = F.datediff(at(run.as_of), metric("first_purchase_date"))
     return {
         "bought_milk_last_30d": any_of("milk_purchases_30d"),
         "bought_fruits_last_14d": any_of("fruits_purchases_14d"),

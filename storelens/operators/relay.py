@@ -54,13 +54,12 @@ def _readable() -> Column:
 
 def parse_logins(messages: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Typed login rows; unreadable messages are left out."""
-    processed = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return _with_body(messages).where(_readable()).select(
         "body.id",
         "body.user_id",
         "body.event_type",
         convert.to_moment(F.col("body.event_timestamp")).alias("event_timestamp"),
-        processed.alias("processed_at"),
+        convert.at(as_of).alias("processed_at"),
     )
 
 

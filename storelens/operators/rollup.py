@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.functions import convert
+
 RAW_EVENT_DAYS = 30
 ROLLUP_DAYS = 180
 
@@ -59,5 +61,5 @@ def apply_ttl(df: DataFrame, column: str, days: int, now: datetime) -> DataFrame
     dtype = df.schema[column].dataType.typeName()
     limit = now - timedelta(days=days)
     if dtype == "date":
-        return df.where(F.col(column).cast("timestamp") > F.lit(limit).cast("timestamp"))
-    return df.where(F.col(column) > F.lit(limit).cast(dtype))
+        return df.where(F.col(column).cast("timestamp") > convert.at(limit))
+    return df.where(F.col(column) > convert.at(limit).cast(dtype))

@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.functions import convert
 from storelens.functions.privacy import mask_pii, normalize_phone
 from storelens.operators import (
     archive, audit, clean, dedupe, documents, quality, relay, retention, rollup, sales, web,
@@ -149,7 +150,7 @@ def _audit(spark: SparkSession, sf: str) -> DataFrame:
 def _recent_audit(spark: SparkSession, sf: str) -> DataFrame:
     changes = audit.audit_changes(view(spark, sf, "v_users_old"), view(spark, sf, "v_users_new"))
     hours = F.make_interval(hours=(F.col("user_id") % 48).cast("int"))
-    timed = changes.withColumn("changed_at", F.lit(AUDIT_NOW).cast("timestamp") - hours)
+    timed = changes.withColumn("changed_at", convert.at(AUDIT_NOW) - hours)
     return audit.recent_audit(timed, AUDIT_NOW)
 
 
