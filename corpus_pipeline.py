@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import exact_dedup, source_mixing
+from storelens.llm import exact_dedup, packing, source_mixing
+from storelens.llm.common import tokenizer_path
 from storelens.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,9 +24,15 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mixing.resample(docs)
 
 
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as pieces with their place in sequences of 2048 tokens."""
+    return packing.packed(docs, tokenizer_path())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("exact_dedup", exact_copies),
     ("source_mix", source_mix),
+    ("best_fit", best_fit),
 ]
 
 # The classifier, the signatures and the tokenizer have no SQL form.

@@ -59,3 +59,10 @@ def _views(column: pa.Array) -> Iterator[memoryview | None]:
 def texts_of(column: pa.Array) -> pa.Array:
     """Texts with NULL as empty text."""
     return column.cast(pa.large_string()).fill_null("")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed package of public tokenizers keeps a file; it is there on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import exact_dedup, line_dedup, source_mixing, topk_search, url_filter
+from storelens.llm import (
+    exact_dedup, line_dedup, packing, source_mixing, token_counts, topk_search, url_filter,
+)
+from storelens.llm.common import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,13 +49,23 @@ def _exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
 
 
+def _pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_site_lines": _site_lines,
         "op2_top_k": _top_k,
         "op3_urls": _urls,
         "op5_source_mix": _mix,
+        "op7_packing": _pack,
         "op8_exact_dedup": _exact,
+        "op10_token_counts": _tokens,
     }
 
 
