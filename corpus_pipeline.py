@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import exact_dedup, packing, source_mixing
-from storelens.llm.common import tokenizer_path
+from storelens.llm.common import ship, tokenizer_path
 from storelens.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,11 +21,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
+    ship(spark)
     return source_mixing.resample(docs)
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as pieces with their place in sequences of 2048 tokens."""
+    ship(spark)
     return packing.packed(docs, tokenizer_path())
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space of the corpus contracts: blank and U+0009 to U+000D.
@@ -66,3 +69,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands the package to the Python workers once a session, for clusters on which it is not installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_storelens_shipped", False):
+        root = Path(__file__).resolve().parent.parent
+        name = f"{tempfile.mkdtemp()}/storelens"
+        context.addPyFile(shutil.make_archive(name, "zip", root.parent, root.name))
+        context._storelens_shipped = True

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from storelens.llm import (
     exact_dedup, line_dedup, packing, source_mixing, token_counts, topk_search, url_filter,
 )
-from storelens.llm.common import tokenizer_path
+from storelens.llm.common import ship, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
