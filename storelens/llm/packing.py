@@ -133,7 +133,8 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     before, so no task gets a whole length. The histogram has at most ``size`` rows and the plan is a small multiple
     of that, so both fit the driver and every task.
     """
-    others = [c for c in pieces.columns if c != "ids"]
+    names = pieces.columns
+    others = [c for c in names if c != "ids"]
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = np.array(sorted(plan_best_fit(counts, size)), np.int64).reshape(-1, 5)
     shift = 40
@@ -145,16 +146,16 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     )
     place = F.row_number().over(Window.partitionBy("length", "part_").orderBy(*others))
     ranked = parted.join(parts, ["length", "part_"]).withColumn("rank_", F.col("before_") + place - 1)
-    ranked = ranked.select(*pieces.columns, "rank_")
+    ranked = ranked.select(*names, "rank_")
 
     def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "rank_"))
             found = plan[np.searchsorted(keys, (length << shift) + rank, "right") - 1]
-            own = [batch.column(c) for c in pieces.columns]
+            own = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(
                 [*own, pa.array(found[:, 3] + rank - found[:, 1]), pa.array(found[:, 4])],
-                names=[*pieces.columns, "sequence_id", "offset"],
+                names=[*names, "sequence_id", "offset"],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
