@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import exact_dedup, packing, source_mixing
+from storelens.llm import bag_minhash, exact_dedup, packing, source_mixing
 from storelens.llm.common import ship, tokenizer_path
 from storelens.session import ensure_checkpoint_dir
 
@@ -19,6 +19,12 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_exact(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near duplicates stays, the one with the smallest id."""
+    ship(spark)
+    return bag_minhash.drop_near(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     ship(spark)
@@ -33,6 +39,7 @@ def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
     ("source_mix", source_mix),
     ("best_fit", best_fit),
 ]

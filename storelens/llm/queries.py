@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm import (
-    exact_dedup, line_dedup, packing, source_mixing, token_counts, topk_search, url_filter,
+    bag_minhash, exact_dedup, line_dedup, packing, source_mixing, token_counts, topk_search, url_filter,
 )
 from storelens.llm.common import ship, tokenizer_path
 
@@ -50,6 +50,10 @@ def _exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
 
 
+def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node", "root")
+
+
 def _pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Query]:
         "op2_top_k": _top_k,
         "op3_urls": _urls,
         "op5_source_mix": _mix,
+        "op6_near_duplicates": _near,
         "op7_packing": _pack,
         "op8_exact_dedup": _exact,
         "op10_token_counts": _tokens,
