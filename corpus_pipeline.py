@@ -7,13 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import bag_minhash, exact_dedup, packing, source_mixing
+from storelens.llm import bag_minhash, exact_dedup, packing, quality, source_mixing
 from storelens.llm.common import ship, tokenizer_path
 from storelens.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier rejects go; it learns from ``labels``."""
+    ship(spark)
+    return quality.drop_poor(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group with the same text stays, the one with the largest id."""
     return exact_dedup.drop_exact(docs)
@@ -38,6 +44,7 @@ def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
     ("exact_dedup", exact_copies),
     ("near_dedup", near_copies),
     ("source_mix", source_mix),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm import (
-    bag_minhash, exact_dedup, line_dedup, packing, source_mixing, token_counts, topk_search, url_filter,
+    bag_minhash, exact_dedup, line_dedup, packing, quality, source_mixing, token_counts, topk_search, url_filter,
 )
 from storelens.llm.common import ship, tokenizer_path
 
@@ -58,6 +58,10 @@ def _pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Query]:
         "op6_near_duplicates": _near,
         "op7_packing": _pack,
         "op8_exact_dedup": _exact,
+        "op9_quality": _quality,
         "op10_token_counts": _tokens,
     }
 
