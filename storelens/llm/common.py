@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.session import ensure_checkpoint_dir
+
 # White space of the corpus contracts: blank and U+0009 to U+000D.
 NOT_BLANK = "[^\\x20\\x09-\\x0D]+"
 
@@ -79,3 +82,11 @@ def ship(spark: SparkSession) -> None:
         name = f"{tempfile.mkdtemp()}/storelens"
         context.addPyFile(shutil.make_archive(name, "zip", root.parent, root.name))
         context._storelens_shipped = True
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The rows as a compressed table in the folder all executors share, for what is read several times."""
+    spark = frame.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

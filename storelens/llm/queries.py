@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm import (
-    bag_minhash, exact_dedup, line_dedup, packing, quality, source_mixing, token_counts, topk_search, url_filter,
+    bag_minhash, exact_dedup, line_dedup, lm_scoring, packing, quality, source_mixing, token_counts, topk_search, url_filter,
 )
 from storelens.llm.common import ship, tokenizer_path
 
@@ -41,6 +41,10 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def _lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Query]:
         "op1_site_lines": _site_lines,
         "op2_top_k": _top_k,
         "op3_urls": _urls,
+        "op4_lm_scores": _lm_scores,
         "op5_source_mix": _mix,
         "op6_near_duplicates": _near,
         "op7_packing": _pack,
