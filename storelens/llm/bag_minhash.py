@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import slices, texts_of
+from storelens.llm.common import held, maybe_in, slices, texts_of
 from storelens.llm.components import components
 from storelens.llm.word_shingles import mixed, shingle_sets
 from storelens.session import materialize
@@ -83,6 +83,7 @@ def text_key(text: Column) -> Column:
 def band_keys(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Puts ``bands`` in the place of ``text`` in rows (id, node, text); no bands without words."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("signatures", dict)
         for batch in slices(batches, "text", SLICE_BYTES):
             texts = texts_of(batch.column("text"))
             row, value, weight = shingle_sets(texts)
@@ -102,6 +103,7 @@ def band_keys(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFram
 def shingle_arrays(docs: DataFrame) -> DataFrame:
     """(node, items): each shingle of a text once for each of its copies in it, as different numbers."""
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("signatures", dict)
         for batch in slices(batches, "text", SLICE_BYTES):
             texts = texts_of(batch.column("text"))
             row, value, weight = shingle_sets(texts)
@@ -210,8 +212,8 @@ def near_duplicates(
 
 def _items(read: DataFrame, members: DataFrame) -> DataFrame:
     """Shingles of the texts that share a bucket with another one; each text once."""
-    wanted = members.select("node").distinct()
-    arrays = shingle_arrays(read)
+    wanted = materialize(members.select("node").distinct())
+    arrays = shingle_arrays(maybe_in(read, wanted, "node"))
     return arrays.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 

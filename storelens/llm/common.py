@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -62,6 +63,19 @@ def _views(column: pa.Array) -> Iterator[memoryview | None]:
         yield data[offsets[row]:offsets[row + 1]]
 
 
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]) -> object:
+    """What a worker process keeps from task to task; another operator's things go when a new one begins."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
 def texts_of(column: pa.Array) -> pa.Array:
     """Texts with NULL as empty text."""
     return column.cast(pa.large_string()).fill_null("")
@@ -84,6 +98,23 @@ def ship(spark: SparkSession) -> None:
         context._storelens_shipped = True
 
 
+# Size of the table behind ``maybe_in``: at most FILTER_BITS / 64 rows of 16 bytes, 4 MB, so it is broadcast.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(frame: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``frame`` whose ``key`` is in ``keys``, and a few others: nothing but a bit table is moved for it.
+
+    Keys are hashed to bits. With more keys than bits all rows pass, so an exact semi join has to follow.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    words = keys.select(slot.alias("slot_")).groupBy(F.expr("shiftright(slot_, 6)").alias("word_")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot_ & 63 as int)))").alias("bits_"))
+    placed = frame.withColumn("slot_", slot).withColumn("word_", F.expr("shiftright(slot_, 6)"))
+    met = placed.join(F.broadcast(words), "word_")
+    return met.where("(shiftright(bits_, cast(slot_ & 63 as int)) & 1L) = 1").select(*frame.columns)
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The rows as a compressed table in the folder all executors share, for what is read several times."""
     spark = frame.sparkSession
