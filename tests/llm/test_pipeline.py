@@ -1,0 +1,40 @@
+"""Each stage of the pipeline against its operator and plain Python."""
+
+from collections import Counter
+
+import corpus_pipeline
+from storelens.llm import bag_minhash, quality, queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, monkeypatch):
+    docs = queries.table(spark, SMALL, "documents")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "exact_dedup", "near_dedup", "source_mix", "best_fit"]
+    labels = queries.table(spark, SMALL, "labels")
+
+    good = stages["quality"](spark, docs, SMALL)
+    scored = quality.score_quality(docs, labels).collect()
+    assert sorted(r["doc_id"] for r in good.collect()) == sorted(r["doc_id"] for r in scored if r["predicted"])
+    unlike = stages["exact_dedup"](spark, docs, SMALL)
+    last = {}
+    for r in docs.collect():
+        last[r["text"]] = max(r["doc_id"], last.get(r["text"], -1))
+    assert sorted(r["doc_id"] for r in unlike.collect()) == sorted(last.values())
+    apart = stages["near_dedup"](spark, docs, SMALL)
+    classes = {r["class_id"] for r in bag_minhash.near_duplicates(docs).collect()}
+    assert {r["doc_id"] for r in apart.collect()} == classes
+    mixed = stages["source_mix"](spark, docs, SMALL)
+    assert max(Counter(r["doc_id"] for r in mixed.collect()).values()) == 2
+    for left in (good, unlike, apart, mixed):
+        assert left.columns == columns
+    packed = stages["best_fit"](spark, docs, SMALL).groupBy("sequence_id").sum("length").collect()
+    assert all(r["sum(length)"] <= 2048 for r in packed)
+    for stage in stages.values():
+        assert stage(spark, docs.limit(0), SMALL).isEmpty()
+
+
+def test_run(spark):
+    assert corpus_pipeline.run(spark, SMALL).count() > 0
