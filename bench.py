@@ -18,7 +18,7 @@ HEADLINE = [
     "customer_ltv_top10", "sales_repair", "null_profile_compare", "price_dense_rank",
     "units_by_category", "sales_by_month", "customer_features", "customer_stats",
     "category_diversity", "latest_partition_report", "event_rollup_exact",
-    "event_rollup_sketch", "retention_daily", "retention_first_visit", "audit_changes",
+    "event_sketch_error", "retention_daily", "retention_first_visit", "audit_changes",
     "archive_split", "archive_report", "relay_roundtrip", "relay_stream",
     "parse_purchases", "parse_customers", "row_hash_dedupe", "typed_stream", "land_raw",
     "mask_pii", "duplicate_ratio", "csv_folder_stream", "page_links", "crawl_frontier",

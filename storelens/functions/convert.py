@@ -25,7 +25,9 @@ def to_double(text: Column) -> Column:
 
 
 def to_uint16(text: Column) -> Column:
-    number = F.when(text.rlike(r"^\d{1,9}$"), text).try_cast("int")
+    """Digits, with any number of zeros before them, whose value fits 16 bits."""
+    digits = F.regexp_extract(text, r"^0*(\d+)$", 1)
+    number = F.when(F.length(digits) <= 5, digits).try_cast("int")
     return F.when(number <= 65535, number)
 
 

@@ -8,43 +8,37 @@ from pyspark.sql import types as T
 
 from storelens.functions import convert
 
-_FLAW = "_flaw"
+_END = "_end_of_text"
 _STRICT = {
     "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": _FLAW,
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
 }
 
 
-def _closed(text: Column) -> Column:
-    """The last character closes the first one; the parser itself stops after the first value."""
-    bare = F.btrim(text, F.lit(" \n\r\t"))
-    return (
-        F.when(bare.startswith("{"), bare.endswith("}"))
-        .when(bare.startswith("["), bare.endswith("]"))
-        .otherwise(True)
-    )
-
-
 def opened(df: DataFrame, text: Column, schema: T.StructType) -> DataFrame:
     """Add ``document``, the fields of ``schema``, and ``valid`` to every row.
 
-    A field of another type than expected is NULL and does not make the document
-    invalid: only documents with such a flaw are parsed a second time to tell bad
-    types from bad JSON. The explode of a one-element array keeps later filters on
+    The parser stops after the first value, so the text is read as the first element of a list whose second one is a
+    mark made from the text itself. The document is valid when the list ends with the mark and has nothing between. A
+    field of another type than expected is NULL and the others stay. Only texts that are no object (lists, scalars,
+    broken ones) are looked at again, for their validity. The explode of a one-element array keeps later filters on
     ``document`` from repeating the parse below it.
     """
-    full = T.StructType([*schema.fields, T.StructField(_FLAW, T.StringType())])
-    read = F.from_json(text, full, _STRICT)
-    document = F.col("document")
-    sound = F.when(
-        document.isNotNull() & document[_FLAW].isNull(), True
-    ).otherwise(F.try_parse_json(text).isNotNull())
-    parsed = df.select("*", F.explode(F.array(read)).alias("document"))
-    return parsed.withColumn(
-        "valid", F.coalesce((text != "") & _closed(text) & sound, F.lit(False))
+    mark = F.md5(text.cast("binary"))
+    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"'), mark, F.lit('"}]'))
+    full = T.ArrayType(T.StructType([*schema.fields, T.StructField(_END, T.StringType())]))
+    parsed = df.select("*", F.explode(F.array(F.from_json(wrapped, full, _STRICT))).alias("parsed_"))
+    items = F.col("parsed_")
+    closed = (F.size(items) == 2) & (F.get(items, F.lit(1))[_END] == mark)
+    other = (
+        F.try_parse_json(wrapped).isNotNull() & (F.json_array_length(wrapped) == 2)
+        & (F.get_json_object(wrapped, f"$[1].{_END}") == mark)
     )
+    found = (text != "") & F.when(F.coalesce(closed, F.lit(False)), F.lit(True)).otherwise(other)
+    return parsed.withColumns({
+        "valid": F.coalesce(found, F.lit(False)), "document": F.get(items, F.lit(0)),
+    }).drop("parsed_")
 
 
 def leaf_type(kind: str) -> T.DataType:

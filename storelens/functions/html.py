@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ENTITY_CUT = r"(?=&#?[A-Za-z0-9]{1,30};)|(?<=&#?[A-Za-z0-9]{1,30};)"
+_PIECE = r"&#?[A-Za-z0-9]+;|[^&]+|&"
 # What is never closed reaches to the end of the page, as in a browser.
 _INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 _HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
@@ -28,16 +28,13 @@ def _code_point(number: Column) -> Column:
 def unescape(text: Column) -> Column:
     """Character references replaced once, left to right.
 
-    Named references are those of HTML 4; numeric ones may be decimal or hexadecimal.
+    Named references are those of HTML 5; numeric ones may be decimal or hexadecimal, of any length.
     """
-    names = F.create_map(
-        *[F.lit(v) for n, c in name2codepoint.items() for v in (f"&{n};", chr(c))],
-        F.lit("&apos;"), F.lit("'"),
-    )
+    names = F.create_map(*[F.lit(v) for n, c in html5.items() if n.endswith(";") for v in (f"&{n}", c)])
 
     def piece(part: Column) -> Column:
-        decimal = F.regexp_extract(part, r"^&#(\d{1,7});$", 1).try_cast("bigint")
-        hexa = F.nullif(F.regexp_extract(part, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1), F.lit(""))
+        decimal = F.regexp_extract(part, r"^&#0*(\d+);$", 1).try_cast("bigint")
+        hexa = F.nullif(F.regexp_extract(part, r"^&#[xX]0*([0-9A-Fa-f]+);$", 1), F.lit(""))
         numeric = F.coalesce(decimal, F.conv(hexa, 16, 10).try_cast("bigint"))
         return (
             F.when(~part.startswith("&"), part)
@@ -45,7 +42,7 @@ def unescape(text: Column) -> Column:
             .otherwise(F.coalesce(F.try_element_at(names, part), part))
         )
 
-    decoded = F.array_join(F.transform(F.split(text, _ENTITY_CUT), piece), "")
+    decoded = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), piece), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 

@@ -8,14 +8,15 @@ from pyspark.sql import types as T
 
 
 def canonical_text(column: Column, dtype: T.DataType) -> Column:
+    """Text of a value that does not depend on the session time zone."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column).cast("string")
     nested = isinstance(dtype, (T.ArrayType, T.StructType, T.MapType))
-    return F.to_json(column) if nested else column.cast("string")
+    return F.to_json(column, {"timeZone": "UTC"}) if nested else column.cast("string")
 
 
 def row_hash(schema: T.StructType, names: list[str]) -> Column:
-    """md5 over the named columns; NULL and empty text differ, and so do shifted values."""
-    parts = [
-        F.coalesce(canonical_text(F.col(n), schema[n].dataType), F.chr(F.lit(0)))
-        for n in names
-    ]
-    return F.md5(F.concat_ws("\x1f", *parts).cast("binary"))
+    """md5 over the named columns, each behind its length; NULL has none, so no two rows give one text."""
+    texts = [canonical_text(F.col(n), schema[n].dataType) for n in names]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.md5(F.concat(*parts).cast("binary"))

@@ -56,9 +56,9 @@ def archive_counts(archived: DataFrame) -> DataFrame:
     return archived.groupBy("user_id").agg(F.count("*").alias("documents"))
 
 
-def archive_totals(archived: DataFrame, now: datetime) -> DataFrame:
-    """One row with date, documents and users, or no row when nothing was archived."""
-    totals = archive_counts(archived).agg(
+def archive_totals(per_user: DataFrame, now: datetime) -> DataFrame:
+    """From ``archive_counts`` one row with date, documents and users, or none when nothing was archived."""
+    totals = per_user.agg(
         F.sum("documents").alias("archived_documents_count"),
         F.count("*").alias("archived_users_count"),
     )
@@ -68,7 +68,7 @@ def archive_totals(archived: DataFrame, now: datetime) -> DataFrame:
 
 def archive_report(archived: DataFrame, now: datetime) -> DataFrame:
     """Report as rows: one per archived user, with the totals of the run beside it."""
-    totals = archive_totals(archived, now)
+    totals = archive_totals(archive_counts(archived), now)
     total = totals.select(F.struct(*totals.columns)).scalar()
     return archive_counts(archived).select(
         F.col("user_id").alias("archived_user_id"),

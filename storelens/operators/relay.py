@@ -73,7 +73,9 @@ def rejected_logins(messages: DataFrame) -> DataFrame:
     return _checked(messages).where("NOT readable").select("value")
 
 
-def latest_copy(rows: DataFrame, key: str = "id") -> DataFrame:
-    """One row per key after a resend; copies differ only in ``processed_at``."""
-    others = [c for c in rows.columns if c != "processed_at"]
-    return rows.groupBy(*others).agg(F.min("processed_at").alias("processed_at"))
+def first_version(rows: DataFrame, key: str = "id") -> DataFrame:
+    """One row per key: the one with the earliest event time, NULL last, then the least of the other columns."""
+    others = [c for c in rows.columns if c not in (key, "event_timestamp")]
+    order = F.struct(F.col("event_timestamp").isNull().alias("late_"), "event_timestamp", *others)
+    best = F.min_by(F.struct(*rows.columns), order).alias("row_")
+    return rows.groupBy(F.col(key).alias("key_")).agg(best).select("row_.*")

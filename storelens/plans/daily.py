@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from storelens.operators import archive
 from storelens.operators.features import FeatureConfig, customer_features
 from storelens.session import build_session
+from storelens.sources import hadoop
 from storelens.sources.files import latest_partition, read_latest_partition
 from storelens.sources.sinks import export_single_csv, write_archive_report, write_partition
 from storelens.sources.tables import read_table
@@ -48,15 +49,34 @@ def run_report(spark: SparkSession, path_in: str, directory: str, name: str) ->
 def run_archive(
     spark: SparkSession, events_path: str, root: str, now: datetime
 ) -> str | None:
-    """Split the stored events into ``root/events/archived=true|false`` in one pass and report.
+    """Move the events of inactive users to ``root/archive/run_at=...``, out of ``events_path``, and report them.
 
-    The source stays as it is; the caller replaces it once the split has been written.
+    One pass writes both sides beside the source. Then the archived side joins the archive, the report of this run is
+    written, and the kept side takes the place of the source. A run that archives nobody changes nothing; a run that
+    broke off before the end can be repeated with the same ``now``.
     """
+    stamp = now.strftime("%Y%m%dT%H%M%S")
+    staging, target, old = f"{root}/staging/{stamp}", f"{root}/archive/run_at={stamp}", f"{root}/staging/{stamp}-replaced"
+    if not hadoop.exists(spark, events_path) and hadoop.exists(spark, old):
+        hadoop.move(spark, old, events_path)  # broken off between the two moves of the swap
     events = spark.read.parquet(events_path)
     tagged = archive.tag_archived(events, archive.inactive_users(events, now))
-    tagged.write.mode("overwrite").partitionBy("archived").parquet(f"{root}/events")
-    written = spark.read.parquet(f"{root}/events").where("archived = 'true'")
-    return write_archive_report(written, f"{root}/reports", now)
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("archived").parquet(staging)
+    archived, kept = f"{staging}/archived=true", f"{staging}/archived=false"
+    if not hadoop.exists(spark, archived):
+        hadoop.remove(spark, staging)
+        return None
+    if hadoop.exists(spark, target):
+        hadoop.remove(spark, target)
+    hadoop.move(spark, archived, target)
+    report = write_archive_report(spark.read.parquet(target), f"{root}/reports", now)
+    if not hadoop.exists(spark, kept):
+        events.limit(0).write.parquet(kept)
+    hadoop.move(spark, events_path, old)
+    hadoop.move(spark, kept, events_path)
+    hadoop.remove(spark, old)
+    hadoop.remove(spark, staging)
+    return report
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -276,6 +276,11 @@ def _land(spark: SparkSession, sf: str) -> DataFrame:
     return documents.land_raw(sent, EVENTS_NOW)
 
 
+def _rejected(spark: SparkSession, sf: str) -> DataFrame:
+    sent = view(spark, sf, "v_raw_purchases").select(F.col("full_data").alias("value"))
+    return documents.rejected(documents.check_messages(sent))
+
+
 def _contacts(spark: SparkSession, sf: str) -> DataFrame:
     phones = view(spark, sf, "v_phones")
     mail = F.concat(F.lit("User."), F.col("c_custkey").cast("string"), F.lit("@Example.COM"))
@@ -376,7 +381,6 @@ def queries() -> dict[str, Query]:
         "customer_features": _features,
         "latest_partition_report": _latest_report,
         "event_rollup_exact": _over("v_events", rollup.exact_rollup),
-        "event_rollup_sketch": _over("v_events", _sketch_rollup),
         "event_sketch_error": _over("v_events", _sketch_error),
         "event_states_stream": _states_stream,
         "event_ttl": _event_ttl,
@@ -396,6 +400,7 @@ def queries() -> dict[str, Query]:
         "row_hash_dedupe": _dedupe,
         "typed_stream": _typed_stream,
         "land_raw": _land,
+        "rejected_raw": _rejected,
         "to_messages": _to_messages,
         "mask_pii": _contacts,
         "normalize_phone": _over("v_phones", _phones),

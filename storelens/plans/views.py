@@ -43,6 +43,10 @@ def _place(key: str) -> str:
 _PURCHASE_JSON = f"""
 CASE WHEN o_orderkey % 50 = 0 THEN '{{"purchase_id":'
      WHEN o_orderkey % 51 = 0 THEN ''
+     WHEN o_orderkey % 53 = 0 THEN '{{"_id":"1"}} {{"_id":"2"}}'
+     WHEN o_orderkey % 57 = 0 THEN '{{"_id":"1"}} x}}'
+     WHEN o_orderkey % 59 = 0 THEN '{{"_id":"1"}},{{"_id":"2"}}'
+     WHEN o_orderkey % 61 = 0 THEN '[1] [2]'
 ELSE '{{"_id":"' || CAST(o_orderkey AS STRING)
   || '","purchase_id":"P-' || CAST(o_orderkey AS STRING)
   || '","customer":{{"customer_id":"C-' || CAST(o_custkey AS STRING)
@@ -51,7 +55,11 @@ ELSE '{{"_id":"' || CAST(o_orderkey AS STRING)
   || '","store_name":"Store ' || CAST(o_orderkey % 45 AS STRING)
   || '","store_network":"NET","location":{{' || {_place('o_orderkey')} || '}}}}'
   || ',"items":[{{"product_id":"PR-' || CAST(o_orderkey % 20 AS STRING)
-  || '","name":"Milk","category":"Молочные продукты","quantity":' || CAST(o_orderkey % 5 + 1 AS STRING) || '}}]'
+  || '","name":"Milk","category":"Молочные продукты","quantity":' || CAST(o_orderkey % 5 + 1 AS STRING) || '}}'
+  || CASE WHEN o_orderkey % 4 >= 2 THEN ',{{"product_id":"PR-' || CAST((o_orderkey + 7) % 20 AS STRING)
+     || '","name":"Apples","category":"Фрукты и ягоды","quantity":1}}' ELSE '' END
+  || CASE WHEN o_orderkey % 4 = 3 THEN ',{{"product_id":"PR-' || CAST((o_orderkey + 10) % 20 AS STRING)
+     || '","name":"Kefir","category":"Молочные продукты","quantity":2}}' ELSE '' END || ']'
   || ',"total_amount":' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)
   || ',"payment_method":"' || CASE WHEN o_orderkey % 2 = 0 THEN 'Card' ELSE 'Cash' END
   || '","is_delivery":' || CASE WHEN o_orderkey % 3 = 0 THEN 'true' ELSE 'false' END

@@ -42,7 +42,7 @@ def _reader_options(fmt: str, options: dict[str, str]) -> dict[str, str]:
     if fmt != "kafka":
         return options
     topic = {"subscribe": options.pop("topic")} if "topic" in options else {}
-    return {"startingOffsets": "earliest", "failOnDataLoss": "false", **topic, **options}
+    return {"startingOffsets": "earliest", **topic, **options}
 
 
 def _as_text(df: DataFrame) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from storelens.operators import archive, audit
 from storelens.sources import hadoop
 
-SINGLE_FILE_ROWS = 5_000_000
-INLINE_IDS = 100_000
-
 
 def write_partition(df: DataFrame, path: str, column: str = "ds") -> None:
     """Write by day and replace only the days written."""
@@ -31,26 +28,25 @@ def export_single_csv(
     name: str,
     order: list[str] | None = None,
     clear: bool = True,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    single_file: bool = True,
 ) -> str:
     """Write ``{directory}/{name}.csv`` with header and no marker file.
 
     ``clear`` empties the directory first. Rows are written beside the target and
-    renamed at the end. A result with more rows than ``single_file_rows`` becomes a
-    folder of that name with several CSV files, so no task writes more than that.
+    renamed at the end. With ``single_file`` one task writes it all; without, the same
+    name is a folder with one CSV file per task, whatever the number of rows.
     """
     spark = df.sparkSession
     target, staging = f"{directory}/{name}.csv", f"{directory}__tmp__/{name}"
     for old in (directory if clear else target, staging):
         if hadoop.exists(spark, old):
             hadoop.remove(spark, old)
-    files = max(1, -(-df.count() // single_file_rows))
-    # A shuffle into the files keeps the work before it parallel, unlike coalesce(1).
-    shaped = (
-        df.repartitionByRange(files, *order).sortWithinPartitions(*order)
-        if order
-        else df.repartition(files)
-    )
+    if single_file:
+        # A shuffle into the file keeps the work before it parallel, unlike coalesce(1).
+        one = df.repartition(1)
+        shaped = one.sortWithinPartitions(*order) if order else one
+    else:
+        shaped = df.orderBy(*order) if order else df
     (
         shaped.write.mode("overwrite")
         .option("header", True)
@@ -60,7 +56,7 @@ def export_single_csv(
     parts = [n for n in hadoop.data_files(spark, staging) if n.endswith(".csv")]
     if not parts:
         raise RuntimeError(f"no CSV file was written for {target}")
-    hadoop.move(spark, f"{staging}/{parts[0]}" if files == 1 else staging, target)
+    hadoop.move(spark, f"{staging}/{parts[0]}" if single_file else staging, target)
     hadoop.remove(spark, f"{directory}__tmp__")
     return target
 
@@ -84,27 +80,25 @@ def write_csv_if_any(df: DataFrame, path: str) -> bool:
     return True
 
 
-def write_archive_report(
-    archived: DataFrame, directory: str, now: datetime, inline_ids: int = INLINE_IDS
-) -> str | None:
-    """``{date}.json`` with the counts and the archived ids; None when nothing was archived.
+def write_archive_report(archived: DataFrame, directory: str, now: datetime) -> str | None:
+    """``{date}.json`` with the counts and the folder ``{date}_ids``; None when nothing was archived.
 
-    More than ``inline_ids`` ids go to the folder ``{date}_ids`` as JSON lines, which
-    the report then names instead of holding the list.
+    The folder holds the archived ids with their documents as JSON lines.
     """
     spark = archived.sparkSession
-    totals = archive.archive_totals(archived, now)
-    found = totals.first()
-    if found is None:
+    stem = f"{directory}/{now.strftime('%Y-%m-%d')}"
+    counts, written = archive.archive_counts(archived), f"{stem}__ids__"
+    counts.write.mode("overwrite").json(written)
+    per_user = spark.read.schema(counts.schema).json(written)
+    totals = archive.archive_totals(per_user, now)
+    if totals.isEmpty():
+        hadoop.remove(spark, written)
         return None
-    stem = f"{directory}/{found['date']}"
-    ids = archive.archive_counts(archived).select("user_id")
-    if found["archived_users_count"] <= inline_ids:
-        listed = ids.agg(F.array_sort(F.collect_list("user_id")).alias("ids")).scalar()
-        report = totals.withColumn("archived_user_ids", listed)
-    else:
-        ids.write.mode("overwrite").json(f"{stem}_ids")
-        report = totals.withColumn("archived_user_ids_folder", F.lit(f"{found['date']}_ids"))
+    if hadoop.exists(spark, f"{stem}_ids"):
+        hadoop.remove(spark, f"{stem}_ids")
+    hadoop.move(spark, written, f"{stem}_ids")
+    report = archive.archive_totals(spark.read.schema(counts.schema).json(f"{stem}_ids"), now).withColumn(
+        "archived_user_ids_folder", F.lit(f"{now.strftime('%Y-%m-%d')}_ids"))
     staging, target = f"{stem}__tmp__", f"{stem}.json"
     report.coalesce(1).write.mode("overwrite").json(staging)
     if hadoop.exists(spark, target):

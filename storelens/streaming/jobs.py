@@ -142,7 +142,7 @@ def consume_logins(
         spark = batch.sparkSession
         cached = clean.keep(batch)
         stored = store.read_store(spark, target, TYPED_LOGIN_SCHEMA, (run, number))
-        rows = clean.keep(relay.latest_copy(relay.parse_logins(cached)))
+        rows = clean.keep(relay.first_version(relay.parse_logins(cached)))
         store.write_batch(dedupe.absent(rows, stored, "id"), target, run, number)
         store.write_batch(relay.rejected_logins(cached), rejects, run, number)
         rows.unpersist()

@@ -8,8 +8,9 @@ from urllib.parse import urljoin, urlsplit
 import pytest
 from pyspark.sql import functions as F
 
-from storelens.functions import convert, html, privacy
+from storelens.functions import convert, documents, html, privacy
 from storelens.functions.rowhash import row_hash
+from storelens.operators import relay
 from storelens.operators.clean import snake_case
 
 
@@ -135,3 +136,38 @@ def test_authority_matches_netloc(spark):
 )
 def test_hrefs(spark, page, expected):
     assert values(spark, [page], html.hrefs) == [expected]
+
+
+def test_numbers_of_any_length(spark):
+    rows = spark.createDataFrame([("0000000005",), ("65535",), ("65536",), ("9" * 60,), ("x",), ("0",)], "t string")
+    assert [r[0] for r in rows.select(convert.to_uint16(F.col("t"))).collect()] == [5, 65535, None, None, None, 0]
+
+
+def test_long_references_and_html5_names(spark):
+    rows = spark.createDataFrame([("&#0000000038;&hellip;&bigstar;&#x00000041;&no;&",)], "t string")
+    assert rows.select(html.unescape(F.col("t"))).first()[0] == "&…★A&no;&"
+
+
+def test_row_hash_tells_shifted_values_apart(spark):
+    rows = spark.createDataFrame([("a\x1fb", "c"), ("a", "b\x1fc"), (None, "-"), ("-", None)], "x string, y string")
+    found = [r[0] for r in rows.select(row_hash(rows.schema, ["x", "y"])).collect()]
+    assert len(set(found)) == 4
+
+
+@pytest.mark.parametrize(("text", "valid"), [
+    ('{"_id":"1"}', True), ('{"_id":"1"} {"_id":"2"}', False), ('{"_id":"1"} x}', False), ('{"_id":"1"},}', False),
+    ("[1] [2]", False), ('"a" "b"', False), ("12 34", False), ("[1, 2]", True), ("12", True), ("", False),
+    ('{"_id":["x"],"b":1}', True), ('1,{"_end_of_text":"x"}],[2', False), ("null", True),
+])
+def test_json_is_valid_as_a_whole(spark, text, valid):
+    rows = spark.createDataFrame([(text,)], "t string")
+    schema = documents.document_schema({"_id": "text"})
+    assert documents.opened(rows, F.col("t"), schema).first()["valid"] is valid
+
+
+def test_one_row_per_login_id_whatever_the_batch(spark):
+    rows = spark.createDataFrame(
+        [(1, "b", datetime(2024, 1, 2)), (1, "a", datetime(2024, 1, 1)), (2, "c", None), (2, "d", datetime(2024, 1, 3))],
+        "id long, event_type string, event_timestamp timestamp")
+    found = {r["id"]: r["event_type"] for r in relay.first_version(rows).collect()}
+    assert found == {1: "a", 2: "d"}

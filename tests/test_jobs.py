@@ -66,20 +66,25 @@ def test_archive_report_file(spark, tmp_path):
     with open(target, encoding="utf-8") as handle:
         report = json.load(handle)
     assert report == {
-        "date": "2025-08-04", "archived_documents_count": 20, "archived_users_count": 10, "archived_user_ids": list(range(123, 133))}
-    listed = sinks.write_archive_report(archived, str(tmp_path / "many"), NOW, inline_ids=3)
-    with open(listed, encoding="utf-8") as handle:
-        report = json.load(handle)
-    ids = spark.read.json(f"{tmp_path}/many/{report['archived_user_ids_folder']}")
+        "date": "2025-08-04", "archived_documents_count": 20, "archived_users_count": 10,
+        "archived_user_ids_folder": "2025-08-04_ids"}
+    ids = spark.read.json(f"{tmp_path}/{report['archived_user_ids_folder']}")
     assert sorted(r["user_id"] for r in ids.collect()) == list(range(123, 133))
 
 
-def test_archive_job_splits_in_one_pass(spark, tmp_path):
-    archive_events(spark).write.parquet(f"{tmp_path}/events")
-    target = daily.run_archive(spark, f"{tmp_path}/events", f"{tmp_path}/out", NOW)
-    assert target.endswith("/2025-08-04.json")
-    split = spark.read.parquet(f"{tmp_path}/out/events").groupBy("archived").count().collect()
-    assert {r["archived"]: r["count"] for r in split} == {"true": 20, "false": 4}
+def test_archive_runs_add_up(spark, tmp_path):
+    source, root = f"{tmp_path}/events", f"{tmp_path}/out"
+    archive_events(spark).write.parquet(source)
+    assert daily.run_archive(spark, source, root, NOW).endswith("/2025-08-04.json")
+    assert spark.read.parquet(source).count() == 4
+    assert daily.run_archive(spark, source, root, NOW) is None
+    later = NOW + timedelta(days=60)
+    report = daily.run_archive(spark, source, root, later)
+    with open(report, encoding="utf-8") as handle:
+        assert json.load(handle)["archived_documents_count"] == 4
+    assert spark.read.parquet(source).count() == 0
+    kept = spark.read.parquet(f"{root}/archive").groupBy("run_at").count().collect()
+    assert sorted(r["count"] for r in kept) == [4, 20]
 
 
 def test_nothing_archived_gives_no_report(spark, tmp_path):
@@ -184,8 +189,9 @@ def test_report_of_an_empty_table_fails(spark, tmp_path):
         daily.run_report(spark, str(tmp_path / "none"), f"{tmp_path}/report", "x")
 
 
-def test_large_csv_becomes_several_files(spark, tmp_path):
-    target = sinks.export_single_csv(spark.range(100).toDF("id"), f"{tmp_path}/big", "ids", order=["id"], single_file_rows=30)
+def test_csv_report_as_a_folder(spark, tmp_path):
+    rows = spark.range(0, 100, 1, 4).toDF("id")
+    target = sinks.export_single_csv(rows, f"{tmp_path}/big", "ids", single_file=False)
     assert spark.read.option("header", True).csv(target).count() == 100
     names = [p.name for p in (tmp_path / "big" / "ids.csv").iterdir() if p.name.endswith(".csv")]
     assert len(names) == 4
