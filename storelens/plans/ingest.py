@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from storelens.functions.privacy import mask_pii
-from storelens.sources import files, messages
+from storelens.sources import files, hadoop, messages
 from storelens.sources.specs import SPECS
 from storelens.streaming import jobs
 
@@ -44,6 +44,7 @@ def stream_collection(
     all the way. A running trigger keeps both queries alive.
     """
     place = f"{root}/{collection}"
+    hadoop.make_folder(spark, f"{place}/raw")  # the typed stream may look before anything has landed
     landing = jobs.stream_raw(
         messages.stream_messages(spark, channel),
         f"{place}/raw", f"{place}/rejects", f"{place}/checkpoints/raw", trigger,

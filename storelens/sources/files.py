@@ -15,8 +15,16 @@ BROKEN = "_broken"
 def read_sales_csv(
     spark: SparkSession, path: str, schema: T.StructType = SALES_CSV_SCHEMA
 ) -> DataFrame:
-    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-    return reader.schema(schema).csv(path)
+    """Columns of ``schema`` by the names in the header, whatever their order; other columns are left out.
+
+    A column that the header lacks is an error. A value that does not fit its type is NULL.
+    """
+    raw = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).csv(path)
+    found = {name.strip(): name for name in raw.columns}
+    missing = [f.name for f in schema if f.name not in found]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*[F.col(f"`{found[f.name]}`").try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_json_documents(

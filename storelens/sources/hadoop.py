@@ -32,6 +32,10 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if not n.startswith(("_", "."))]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _system(spark, path).mkdirs(_path(spark, path))
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     system = _system(spark, target)
     system.mkdirs(_path(spark, target).getParent())

@@ -52,3 +52,16 @@ def test_publish_takes_a_condition(spark, tmp_path):
     channel = {"format": "json", "path": f"{tmp_path}/topic"}
     assert ingest.publish_documents(collection, channel, F.col("n") > 5) == 1
     assert [r["key"] for r in messages.read_messages(spark, channel).collect()] == ["2"]
+
+
+def test_running_trigger_on_a_new_root(spark, tmp_path):
+    (tmp_path / "topic").mkdir()
+    channel = {"format": "json", "path": str(tmp_path / "topic")}
+    query = ingest.stream_collection(spark, "purchases", channel, str(tmp_path / "dwh"), {"processingTime": "1 second"})
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+        assert query.exception() is None
+    finally:
+        for running in spark.streams.active:
+            running.stop()

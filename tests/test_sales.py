@@ -2,6 +2,7 @@
 
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from storelens.operators import clean, sales
 from storelens.operators.lookup import sized_join, smallest
 from storelens.plans.views import view
 from storelens.sources.files import read_sales_csv
+from storelens.sources.specs import SALES_CSV_SCHEMA
 from conftest import SF_DIR
 
 SCHEMA = """transaction_id string, customer_id string, category string, item string, price_per_unit decimal(10,2),
@@ -137,3 +139,14 @@ def test_observed_counts(spark):
     kept, seen = clean.observed_clean(df)
     assert kept.count() == 1
     assert seen.get == {"rows_read": 3, "rows_kept": 1, "rows_removed": 2}
+
+
+def test_sales_csv_is_read_by_header_names(spark, tmp_path):
+    names = [f.name for f in SALES_CSV_SCHEMA]
+    (tmp_path / "turned.csv").write_text(
+        ",".join(reversed(["Extra", *names])) + "\n" + ",".join(reversed(["x", *(["1"] * (len(names) - 1)), "True"])) + "\n")
+    row = read_sales_csv(spark, str(tmp_path / "turned.csv")).first()
+    assert row["Discount Applied"] == "True" and row["Quantity"] == 1.0 and "Extra" not in row.asDict()
+    (tmp_path / "short.csv").write_text("Item\nmilk\n")
+    with pytest.raises(ValueError, match="Quantity"):
+        read_sales_csv(spark, str(tmp_path / "short.csv"))
