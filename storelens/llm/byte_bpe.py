@@ -260,7 +260,7 @@ class CountingTransducer:
 class Encoder:
     """Token ids of pre-tokens by the public library, kept for those seen lately."""
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most

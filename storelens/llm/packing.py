@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,21 +12,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.llm.byte_bpe import Encoder, Pretokens, gathered
-from storelens.llm.common import slices, texts_of
+from storelens.llm.common import held, slices, texts_of
 from storelens.session import materialize
 
 SEQUENCE = 2048
 END_ID = 0
 SPECIAL = b"<|endoftext|>"
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 # Ranks within a length are counted in so many parts, so a frequent length is spread over tasks.
 PARTS = 512
 
 
-@lru_cache(2)
 def encoder(path: str) -> Encoder:
     """One for each worker process and vocabulary file."""
-    return Encoder(path)
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def token_ids(texts: pa.Array, tokens: Encoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:

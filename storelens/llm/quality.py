@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import remainder, slices, texts_of
+from storelens.llm.common import held, remainder, slices, texts_of
 from storelens.llm.word_shingles import word_codes
 from storelens.session import materialize
 
@@ -28,8 +28,8 @@ HIDDEN = 32
 EPOCHS = 40
 ACCEPTED = 0.3
 FOLDS = 5
-SLICE_BYTES = 4_000_000
-KEPT_WORDS = 400_000
+SLICE_BYTES = 3_000_000
+KEPT_WORDS = 300_000
 _SHAPE = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b
     for b in range(256)
@@ -58,7 +58,8 @@ class Slots:
         return np.array([known[w] for w in words], np.int64).reshape(-1, 2)
 
 
-_slots = Slots()
+def _slots(words: list[bytes]) -> np.ndarray:
+    return held("slots", Slots)(words)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,15 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.byte_bpe import CountingTransducer, Pretokens, Vocabulary
-from storelens.llm.common import slices, texts_of
+from storelens.llm.common import held, slices, texts_of
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 3_000_000
 
 
-@lru_cache(2)
 def transducer(path: str) -> CountingTransducer:
     """One for each worker process and vocabulary file."""
-    return CountingTransducer(Vocabulary(path))
+    return held(("transducer", path), lambda: CountingTransducer(Vocabulary(path)))
 
 
 def count_batch(texts: pa.Array, machine: CountingTransducer) -> np.ndarray:
