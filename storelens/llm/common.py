@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import shutil
 import tempfile
@@ -52,6 +53,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
             held += size
         if batch.num_rows > start:
             yield batch.slice(start)
+    give_back()
 
 
 def _views(column: pa.Array) -> Iterator[memoryview | None]:
@@ -71,11 +73,19 @@ def held(key: Hashable, make: Callable[[], object]) -> object:
     if key not in _held:
         _held.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _held[key] = make()
     return _held[key]
 
 
+def give_back() -> None:
+    """Returns what a finished task no longer uses to the system, as the worker process lives on beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def texts_of(column: pa.Array) -> pa.Array:
     """Texts with NULL as empty text."""
     return column.cast(pa.large_string()).fill_null("")

@@ -29,7 +29,7 @@ EPOCHS = 40
 ACCEPTED = 0.3
 FOLDS = 5
 SLICE_BYTES = 3_000_000
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 _SHAPE = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b
     for b in range(256)
