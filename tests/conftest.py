@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from storelens.plans.views import TABLES  # noqa: E402
-
 SF_DIR = "/root/testdata/sf0.01"
 
 
@@ -33,6 +31,6 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def duck():
     connection = duckdb.connect()
-    for name in TABLES:
-        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    for path in sorted(Path(SF_DIR).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return connection
