@@ -40,7 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as pieces with their place in sequences of 2048 tokens."""
     ship(spark)
-    return packing.packed(docs, tokenizer_path())
+    return packing.packed(docs, tokenizer_path(), kept=300_000, slice_bytes=2_000_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

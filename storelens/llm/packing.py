@@ -18,14 +18,16 @@ from storelens.session import materialize
 SEQUENCE = 2048
 END_ID = 0
 SPECIAL = b"<|endoftext|>"
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 4_000_000
+# Spelled pre-tokens a worker keeps; with fewer it needs less memory and spells rare ones again.
+KEPT = 600_000
 # Ranks within a length are counted in so many parts, so a frequent length is spread over tasks.
 PARTS = 512
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept: int = KEPT) -> Encoder:
     """One for each worker process and vocabulary file."""
-    return held(("encoder", path), lambda: Encoder(path))
+    return held(("encoder", path, kept), lambda: Encoder(path, kept))
 
 
 def token_ids(texts: pa.Array, tokens: Encoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -39,15 +41,15 @@ def token_ids(texts: pa.Array, tokens: Encoder, end_id: int = END_ID) -> tuple[n
 
 def pieces_of(
     docs: DataFrame, path: str, size: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text",
-    with_ids: bool = False,
+    with_ids: bool = False, kept: int = KEPT, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Rows (id, piece, start, length, ids_crc32 and with ``with_ids`` the ids) of at most ``size`` tokens.
 
     Only longer documents are cut: into pieces of ``size`` tokens, of which the first may be shorter.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(path)
-        for batch in slices(batches, "text", SLICE_BYTES):
+        tokens = encoder(path, kept)
+        for batch in slices(batches, "text", slice_bytes):
             stream, ends = token_ids(texts_of(batch.column("text")), tokens)
             begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             lengths = ends - begins
@@ -58,8 +60,8 @@ def pieces_of(
             start = np.where(piece == 0, 0, first[row] + (piece - 1) * size)
             length = np.where(piece == 0, first[row], size)
             at = begins[row] + start
-            kept = stream.astype("<u4")
-            crcs = [zlib.crc32(kept[a:a + n].tobytes()) for a, n in zip(at.tolist(), length.tolist())]
+            words = stream.astype("<u4")
+            crcs = [zlib.crc32(words[a:a + n].tobytes()) for a, n in zip(at.tolist(), length.tolist())]
             columns = [
                 batch.column("id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                 pa.array(length, pa.int64()), pa.array(crcs, pa.int64()),
@@ -160,10 +162,12 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     return ranked.mapInArrow(slot, f"{schema}, sequence_id long, offset long")
 
 
-def packed(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
+def packed(
+    docs: DataFrame, path: str, size: int = SEQUENCE, kept: int = KEPT, slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """Documents as pieces with their place in sequences of at most ``size`` tokens.
 
     doc_id, piece, start, length, ids_crc32, sequence_id, offset. NULL counts as empty text, which is one piece with
     the end token. Repeated rows are packed each, ids may be NULL, other columns are ignored. No rows in, no rows out.
     """
-    return pack(materialize(pieces_of(docs, path, size)), size)
+    return pack(materialize(pieces_of(docs, path, size, kept=kept, slice_bytes=slice_bytes)), size)
