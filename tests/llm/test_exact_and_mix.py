@@ -69,6 +69,36 @@ def test_mixture(make_docs):
     assert source_mixing.mixed(docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("share", [0.4, 0.5, 0.6])
+def test_small_rows_fill_what_a_long_one_leaves_open(make_docs, share):
+    rows = [(n, "w " * (1 + n % 4), f"s{n % 3}") for n in range(9000)]
+    rows += [(10_000 + n, "w " * 3_600, f"s{n}") for n in range(3)]
+    # Copies of one id, source and text are taken alike.
+    rows += [(20_000, "w w w w w", "s1")] * 3 + [(20_001, "", "s1")]
+    docs = source_mixing.mix_rows(make_docs(rows))
+    found = source_mixing.mix(docs, weights=(1, 1, 1), share=share, most=1).collect()
+    assert len(found) == len(rows)
+    for source in ("s0", "s1", "s2"):
+        own = [r for r in found if r["source"] == source]
+        target = own[0]["target"]
+        p = target / own[0]["source_size"]
+        units, n = defaultdict(int), {}
+        for r in own:
+            units[r["key_"]] += r["size"]
+            n[r["key_"]] = r["u_"]
+        left, taken, blocked = target, set(), False
+        for key in sorted(units, key=lambda k: (n[k] / (1 - n[k]) / (p / (1 - p)), k)):
+            if units[key] <= left and not (blocked and not units[key]):
+                taken.add(key)
+                left -= units[key]
+            blocked |= units[key] > left and key not in taken
+        rest = min((s for k, s in units.items() if k not in taken and s), default=0)
+        assert abs(left) < max(rest, 1)
+        got = {r["key_"] for r in own if r["copies"]}
+        assert len(got ^ taken) <= 1 and taken <= got
+        assert abs(sum(units[k] for k in got) - target) <= max(rest, 1) / 2 + 1e-6
+
+
 def test_inclusion_is_near_its_probability(make_docs):
     rows = [(n, "w w w w", f"s{n % 4}") for n in range(4000)]
     found = source_mixing.mixed(make_docs(rows)).collect()
