@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SF_DIR = "/root/testdata/sf0.01"
+from tables import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR
+from tables import SF_DIR
 from storelens.operators import features
 from storelens.plans.registry import RETAIL_CONFIG, RUN_DS
 from storelens.plans.views import view

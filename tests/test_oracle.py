@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 import __spark_entry__ as driver
-from conftest import SF_DIR
+from tables import SF_DIR
 
 QUERIES = driver.queries()
 ORACLE = driver.oracle_sql()

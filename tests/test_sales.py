@@ -11,7 +11,7 @@ from storelens.operators.lookup import sized_join, smallest
 from storelens.plans.views import view
 from storelens.sources.files import read_sales_csv
 from storelens.sources.specs import SALES_CSV_SCHEMA
-from conftest import SF_DIR
+from tables import SF_DIR
 
 SCHEMA = """transaction_id string, customer_id string, category string, item string, price_per_unit decimal(10,2),
 quantity int, total_spent decimal(10,2), payment_method string, location string, transaction_date string"""
