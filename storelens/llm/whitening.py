@@ -59,6 +59,25 @@ def _rows(batch: pa.RecordBatch) -> np.ndarray:
     return flat.reshape(batch.num_rows, -1)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The vectors as blocks of bytes, 32 bits an entry where that holds them, so that a pass over them decodes no arrays."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _rows(batch)
+                narrow = bool(np.abs(x).max() < 2**31)
+                data = x.astype("<i4" if narrow else "<i8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([narrow]), pa.array([data], pa.binary())], names=["narrow", "data"])
+
+    return rows.mapInArrow(pack, "narrow boolean, data binary")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for narrow, data in zip(batch.column("narrow").to_pylist(), batch.column("data")):
+            yield np.frombuffer(data.as_buffer(), "<i4" if narrow else "<i8").astype(np.int64).reshape(-1, width)
+
+
 def _off_mean(x: np.ndarray, n: int, sums: tuple[int, ...]) -> np.ndarray:
     """n * x - sums, exactly; as Python integers only where long is too narrow."""
     largest = max(int(np.abs(x).max(initial=0)), 1)
@@ -82,17 +101,15 @@ def squared_deviations(x: np.ndarray, n: int, sums: tuple[int, ...]) -> np.ndarr
     return np.array([min(int(v), 2**63 - 1) for v in exact], np.int64)
 
 
-def _summed(fit: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+def _summed(fit: DataFrame, width: int, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Sum over all rows of a flat result of ``of``, which takes a block of rows; tasks add with compensation, Spark adds the tasks.
 
     What reaches the driver has the length of the result, whatever the number of rows or tasks.
     """
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = lost = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = of(_rows(batch))
+        for x in _blocks(batches, width):
+            part = of(x)
             if total is None:
                 total, lost = np.zeros_like(part), np.zeros_like(part)
             grown = total + part
@@ -112,12 +129,10 @@ def _count_and_sums(fit: DataFrame, width: int) -> tuple[int, tuple[int, ...]]:
     """Number of rows and exact sums of each dimension."""
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width + 1, object)
-        for batch in batches:
-            if batch.num_rows:
-                x = _rows(batch)
-                narrow = int(np.abs(x).max()) * len(x) < 2**62
-                total[:width] += (x if narrow else x.astype(object)).sum(0).astype(object)
-                total[width] += len(x)
+        for x in _blocks(batches, width):
+            narrow = int(np.abs(x).max()) * len(x) < 2**62
+            total[:width] += (x if narrow else x.astype(object)).sum(0).astype(object)
+            total[width] += len(x)
         sums = pa.array([str(v) for v in total])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width + 1, dtype=np.int32)), sums], names=["place", "value"])
 
@@ -249,7 +264,7 @@ def fit_whitening(rows: DataFrame, width: int, components: int = COMPONENTS) ->
 
     Components whose variance is nothing but rounding are left out.
     """
-    fit = stored(rows.select("x_").distinct())
+    fit = stored(_packed(rows.select("x_").distinct()))
     n, sums = _count_and_sums(fit, width)
     if not n:
         return Fit(0, sums, np.zeros(0), np.zeros((width, 0)), 0.0, 0.0)
@@ -259,9 +274,9 @@ def fit_whitening(rows: DataFrame, width: int, components: int = COMPONENTS) ->
             c = centred(x, n, sums)
             return (c.T @ (c @ block)).ravel()
 
-        return _summed(fit, of).reshape(block.shape) / n
+        return _summed(fit, width, of).reshape(block.shape) / n
 
-    trace = float(_summed(fit, lambda x: np.array([np.square(centred(x, n, sums)).sum()]))[0]) / n
+    trace = float(_summed(fit, width, lambda x: np.array([np.square(centred(x, n, sums)).sum()]))[0]) / n
     values, vectors = jacobi_davidson(product, width, components) if trace > 0 else (np.zeros(0), np.zeros((width, 0)))
     real = values > max(width, 64) * np.finfo(float).eps * values.max(initial=0.0)
     values, vectors = values[real], vectors[:, real]
@@ -274,7 +289,7 @@ def fit_whitening(rows: DataFrame, width: int, components: int = COMPONENTS) ->
         w = centred(x, n, sums) @ turn
         return np.concatenate([w.sum(0), (w.T @ w).ravel()])
 
-    found = _summed(fit, moments) / n
+    found = _summed(fit, width, moments) / n
     mean, squares = found[:count], found[count:].reshape(count, count)
     error = float(np.abs(squares - np.outer(mean, mean) - np.eye(count)).max())
     return Fit(n, sums, values, vectors, trace, error)
