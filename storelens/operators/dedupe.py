@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.session import materialize
 from storelens.sources.specs import TableSpec
 
-BROADCAST_KEYS = 500_000
-
 
 def unique_rows(parsed: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per hash.
@@ -24,30 +21,22 @@ def unique_rows(parsed: DataFrame, spec: TableSpec) -> DataFrame:
     return parsed.groupBy(*kept).agg(*first).select(*parsed.columns)
 
 
-def absent(
-    batch: DataFrame, target: DataFrame | None, key: str, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target``; the batch is counted, so cache it.
+def absent(batch: DataFrame, target: DataFrame | None, key: str) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``target``.
 
-    Keys are numbers or hashes, so their count bounds their size. Those of a small
-    batch are sent to the target scan, which then needs no shuffle and gives back no
-    more keys than the batch has. A large batch is matched by a shuffled anti join.
+    The keys of ``target`` are cut down to those of the batch before the anti join, which so meets no more keys than the
+    batch has. How either join is done is left to the sizes Spark measures while it runs.
     """
     if target is None:
         return batch
-    stored = target.select(key)
-    if batch.count() <= broadcast_keys:
-        wanted = F.broadcast(batch.select(key))
-        stored = F.broadcast(stored.join(wanted, key, "left_semi").distinct())
-    return batch.join(stored, key, "left_anti").select(*batch.columns)
+    known = target.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(known, key, "left_anti").select(*batch.columns)
 
 
-def new_rows(
-    batch: DataFrame, target: DataFrame | None, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
-    return absent(batch, target, "row_hash", broadcast_keys)
+def new_rows(batch: DataFrame, target: DataFrame | None) -> DataFrame:
+    return absent(batch, target, "row_hash")
 
 
 def load_new(parsed: DataFrame, spec: TableSpec, target: DataFrame | None) -> DataFrame:
-    """Unique rows of ``parsed`` that ``target`` lacks; the unique rows are written once."""
-    return new_rows(materialize(unique_rows(parsed, spec)), target)
+    """Unique rows of ``parsed`` that ``target`` lacks."""
+    return new_rows(unique_rows(parsed, spec), target)

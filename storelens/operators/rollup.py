@@ -24,18 +24,22 @@ def event_states(events: DataFrame, precision: int = 12) -> DataFrame:
     )
 
 
-def merge_states(states: DataFrame) -> DataFrame:
-    return (
-        states.groupBy("event_date", "event_type")
-        .agg(
-            F.hll_sketch_estimate(F.hll_union_agg("uniq_users")).alias("unique_users"),
-            F.sum("total_points_spent").alias("total_spent"),
-            F.sum("actions_count").alias("total_actions"),
-        )
-        .orderBy("event_date", "event_type")
+def fold_states(states: DataFrame) -> DataFrame:
+    """One state per day and type, of the same form."""
+    return states.groupBy("event_date", "event_type").agg(
+        F.hll_union_agg("uniq_users").alias("uniq_users"),
+        F.sum("total_points_spent").alias("total_points_spent"),
+        F.sum("actions_count").alias("actions_count"),
     )
 
 
+def merge_states(states: DataFrame) -> DataFrame:
+    return fold_states(states).select(
+        "event_date", "event_type", F.hll_sketch_estimate("uniq_users").alias("unique_users"),
+        F.col("total_points_spent").alias("total_spent"), F.col("actions_count").alias("total_actions"),
+    ).orderBy("event_date", "event_type")
+
+
 def exact_rollup(events: DataFrame) -> DataFrame:
     """The same report with an exact user count.
 

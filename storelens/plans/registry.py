@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,15 @@ from storelens.plans.views import table, view
 from storelens.session import ensure_checkpoint_dir
 from storelens.sources import files, messages, sinks
 from storelens.sources.specs import CUSTOMERS, PRODUCTS, PURCHASES, STORES, TableSpec
-from storelens.streaming import jobs, store
+from storelens.streaming import alerts, folder, jobs, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DS = "20010801"
 PREVIOUS_DS = "20010731"
 EVENTS_NOW = datetime(2024, 1, 31)
+STATES_FROM = date(2024, 1, 11)
+ALERTS_SPLIT = datetime(2024, 1, 15, 0, 30)
 AUDIT_NOW = datetime(2024, 1, 2, 12)
 RETAIL_CONFIG = FeatureConfig(
     groups={
@@ -199,8 +201,7 @@ def _relay_stream(spark: SparkSession, sf: str) -> DataFrame:
     jobs.consume_logins(
         messages.stream_messages(spark, channel), f"{root}/logins", f"{root}/rejects", f"{root}/consume"
     ).awaitTermination()
-    stored = store.read_store(spark, f"{root}/logins", jobs.TYPED_LOGIN_SCHEMA)
-    return stored.drop("processed_at")
+    return jobs.read_logins(spark, f"{root}/logins").drop("processed_at")
 
 
 def _parsed(spec: TableSpec) -> Query:
@@ -246,7 +247,7 @@ def _typed_stream(spark: SparkSession, sf: str) -> DataFrame:
         jobs.stream_parse(
             jobs.read_raw_stream(spark, f"{root}/raw"), PURCHASES, f"{root}/typed", f"{root}/parse"
         ).awaitTermination()
-    stored = store.read_store(spark, f"{root}/typed", PURCHASES.schema)
+    stored = store.read_store(spark, f"{root}/typed", jobs.typed_layout(PURCHASES))
     return stored.select("row_hash", "purchase_id")
 
 
@@ -259,10 +260,53 @@ def _states_stream(spark: SparkSession, sf: str) -> DataFrame:
     jobs.stream_event_states(
         source.parquet(f"{root}/events"), f"{root}/states", f"{root}/checkpoint"
     ).awaitTermination()
-    states = store.read_store(spark, f"{root}/states", jobs.STATE_SCHEMA)
+    return _read_states(spark, root)
+
+
+def _read_states(spark: SparkSession, root: str) -> DataFrame:
+    states = store.read_store(spark, f"{root}/states", jobs.STATES)
     return rollup.merge_states(states).select("event_date", "event_type", "total_spent", "total_actions")
 
 
+def _states_expired(spark: SparkSession, sf: str) -> DataFrame:
+    """States of a stream in several batches, merged by maintenance twice and expired by day folder."""
+    root = scratch(spark)
+    events = view(spark, sf, "v_events")
+    for number in range(4):
+        jobs.add_states(events.where(F.col("id") % 4 == number), f"{root}/states", "run", number)
+        if number % 2:
+            jobs.compact_states(spark, f"{root}/states")
+    jobs.expire_states(spark, f"{root}/states", STATES_FROM)
+    return _read_states(spark, root)
+
+
+def _login_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of each login in batches of their own, with maintenance between: the earliest one stays."""
+    root = scratch(spark)
+    logins = view(spark, sf, "v_logins")
+    for number, hours in enumerate((2, 0, 1)):
+        sent = logins.withColumn("event_timestamp", F.expr(f"event_timestamp + make_interval(0, 0, 0, 0, {hours})"))
+        jobs.add_logins(relay.login_messages(sent), f"{root}/logins", f"{root}/rejects", "run", number)
+    jobs.compact_logins(spark, f"{root}/logins")
+    return jobs.read_logins(spark, f"{root}/logins").drop("processed_at")
+
+
+def _alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of each hour and event type as evaluations, in two files; a count above the limit for three hours fires."""
+    root = scratch(spark)
+    hourly = view(spark, sf, "v_events").groupBy(
+        F.col("event_type").alias("rule"), F.date_trunc("hour", "event_time").alias("at")
+    ).agg(F.count("*").alias("value"))
+    limits = hourly.groupBy("rule").agg((F.sum("value") / F.count("*")).cast("bigint").alias("row_limit"))
+    checks = hourly.join(limits, "rule").select(*alerts.CHECKS.names)
+    for early in (True, False):
+        part = checks.where((F.col("at") < convert.at(ALERTS_SPLIT)) == early)
+        part.coalesce(1).write.mode("append").parquet(f"{root}/checks")
+    source = spark.readStream.schema(alerts.CHECKS).option("maxFilesPerTrigger", 1).parquet(f"{root}/checks")
+    alerts.watch_alerts(source, 3 * 3600, f"{root}/alerts", f"{root}/checkpoint").awaitTermination()
+    return store.read_store(spark, f"{root}/alerts", alerts.TRANSITIONS).select("rule", "state", "at")
+
+
 def _counts_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch(spark)
     orders = table(spark, sf, "orders").select("o_orderkey")
@@ -318,20 +362,17 @@ def _status(spark: SparkSession, sf: str) -> DataFrame:
     return per_store.withColumn("status", quality.status(F.col("row_count"), steps))
 
 
-def _folder_csv(spark: SparkSession, sf: str, root: str) -> DataFrame:
-    rows = view(spark, sf, "v_folder")
-    rows.repartition(3, "id").write.option("header", True).csv(f"{root}/in")
-    return rows
-
-
 def _folder_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with the columns in two orders, one without rows, and a second delivery, taken two files a round."""
     root = scratch(spark)
-    rows = _folder_csv(spark, sf, root)
-    jobs.csv_folder_stream(
-        spark, f"{root}/in", f"{root}/out", f"{root}/archive", rows.schema, f"{root}/checkpoint", 2
-    ).awaitTermination()
+    rows = view(spark, sf, "v_folder")
+    columns = rows.columns
+    late = F.pmod("id", F.lit(10)) == 3
+    for part, order in ((rows.where(~late), columns), (rows.limit(0), columns), (rows.where(late), columns[::-1])):
+        part.select(*order).repartition(2).write.mode("append").option("header", True).csv(f"{root}/in")
+        folder.load_csv_folder(spark, f"{root}/in", f"{root}/out", f"{root}/archive", f"{root}/ledger", rows.schema, 2)
     written = spark.read.option("header", True).schema(rows.schema).csv(f"{root}/out")
-    return written.select(*rows.columns)
+    return written.select(*columns)
 
 
 def _links(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,6 +425,9 @@ def queries() -> dict[str, Query]:
         "event_rollup_sketch": _over("v_events", _sketch_rollup),
         "event_sketch_error": _over("v_events", _sketch_error),
         "event_states_stream": _states_stream,
+        "states_expired": _states_expired,
+        "alert_transitions": _alerts,
+        "login_versions": _login_versions,
         "event_ttl": _event_ttl,
         "retention_daily": _over("v_events", retention.retention_daily),
         "retention_first_visit": _over(

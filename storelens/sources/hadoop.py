@@ -32,6 +32,25 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if not n.startswith(("_", "."))]
 
 
+def file_stamps(spark: SparkSession, path: str, suffix: str) -> list[tuple[str, int, int]]:
+    """Name, time of the last change in ms and length of the files of a folder, empty ones too."""
+    files = [s for s in _children(spark, path) if s.isFile()]
+    found = [(s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in files]
+    return [f for f in found if f[0].endswith(suffix) and not f[0].startswith(("_", "."))]
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a UTF-8 file without its byte order mark; None for an empty file."""
+    jvm = spark._jvm
+    stream = _system(spark, path).open(_path(spark, path))
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return None if line is None else line.removeprefix("\ufeff")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     _system(spark, path).mkdirs(_path(spark, path))
 

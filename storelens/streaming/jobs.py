@@ -1,4 +1,4 @@
-"""Streaming queries: landing, typed tables, event states, relay, folder, counts.
+"""Streaming queries: landing, typed tables, event states, relay, counts.
 
 Every function returns the running query. The default trigger works off what is
 there and stops; pass ``trigger={"processingTime": "1 minute"}`` to keep running.
@@ -7,7 +7,7 @@ there and stops; pass ``trigger={"processingTime": "1 minute"}`` to keep running
 from __future__ import annotations
 
 from collections.abc import Callable
-from urllib.parse import unquote
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from storelens.operators import clean, dedupe, documents, relay, rollup
-from storelens.sources import hadoop, messages
+from storelens.sources import messages
 from storelens.sources.specs import LOGIN_SCHEMA, RAW_SCHEMA, TableSpec
 from storelens.streaming import store
 
@@ -37,7 +37,13 @@ TYPED_LOGIN_SCHEMA = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
-TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
+STATES = store.Layout(STATE_SCHEMA, day="event_date")
+SENT = store.Layout(SENT_SCHEMA, key="id")
+LOGINS = store.Layout(TYPED_LOGIN_SCHEMA, key="id")
+
+
+def typed_layout(spec: TableSpec) -> store.Layout:
+    return store.Layout(spec.schema, key="row_hash")
 
 
 def _each_batch(
@@ -84,26 +90,34 @@ def stream_parse(
     """
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
-        typed = documents.parse_documents(batch, spec)
-        unique = clean.keep(dedupe.unique_rows(typed, spec))
-        stored = store.read_store(batch.sparkSession, target, spec.schema, (run, number))
-        store.write_batch(dedupe.new_rows(unique, stored), target, run, number)
-        unique.unpersist()
+        add_typed(batch, spec, target, run, number)
 
     return _each_batch(raw, checkpoint, handle, trigger)
 
 
+def add_typed(raw: DataFrame, spec: TableSpec, target: str, run: str, number: int) -> None:
+    """One batch of raw rows to the typed table; only the buckets its hashes fall into are opened."""
+    unique = clean.keep(dedupe.unique_rows(documents.parse_documents(raw, spec), spec))
+    layout = typed_layout(spec)
+    store.write_batch(store.absent(unique, target, layout, (run, number)), target, run, number, layout)
+    unique.unpersist()
+
+
 def stream_event_states(
     events: DataFrame, target: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Partial daily states of each micro-batch, merged by whoever reads them."""
+    """Partial daily states of each micro-batch in folders by day, merged by whoever reads them and by ``compact_states``."""
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
-        store.write_batch(rollup.event_states(batch), target, run, number)
+        add_states(batch, target, run, number)
 
     return _each_batch(events, checkpoint, handle, trigger)
 
 
+def add_states(events: DataFrame, target: str, run: str, number: int) -> None:
+    store.write_batch(rollup.event_states(events), target, run, number, STATES)
+
+
 def stream_relay(
     logins: DataFrame,
     channel: dict[str, str],
@@ -118,9 +132,8 @@ def stream_relay(
     """
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
-        sent = store.read_store(batch.sparkSession, ledger, SENT_SCHEMA, (run, number))
         rows = clean.keep(batch.dropDuplicates(["id"]))
-        ready = dedupe.absent(rows, sent, "id")
+        ready = store.absent(rows, ledger, SENT, (run, number))
         messages.write_messages(relay.login_messages(ready), channel)
         mark_sent(ready, ledger, run, number)
         rows.unpersist()
@@ -130,76 +143,59 @@ def stream_relay(
 
 def mark_sent(rows: DataFrame, ledger: str, run: str, batch: int) -> None:
     """Add the ids of delivered rows to the ledger; repeating a batch changes nothing."""
-    store.write_batch(rows.select(F.col("id").cast("bigint").alias("id")), ledger, run, batch)
+    store.write_batch(rows.select(F.col("id").cast("bigint").alias("id")), ledger, run, batch, SENT)
 
 
 def consume_logins(
     stream: DataFrame, target: str, rejects: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Messages to typed login rows, one per id; unreadable ones to the reject table."""
+    """Messages to versions of login rows, one per id and batch; unreadable ones to the reject table.
+
+    History is not looked at: ``read_logins`` and ``compact_logins`` choose among the versions of an id, and that choice
+    does not depend on how the stream was cut into batches.
+    """
 
     def handle(batch: DataFrame, run: str, number: int) -> None:
-        spark = batch.sparkSession
-        cached = clean.keep(batch)
-        stored = store.read_store(spark, target, TYPED_LOGIN_SCHEMA, (run, number))
-        rows = clean.keep(relay.first_version(relay.parse_logins(cached)))
-        store.write_batch(dedupe.absent(rows, stored, "id"), target, run, number)
-        store.write_batch(relay.rejected_logins(cached), rejects, run, number)
-        rows.unpersist()
-        cached.unpersist()
+        add_logins(batch, target, rejects, run, number)
 
     return _each_batch(stream, checkpoint, handle, trigger)
 
 
-def csv_folder_stream(
-    spark: SparkSession,
-    folder: str,
-    output: str,
-    archive: str,
-    schema: T.StructType,
-    checkpoint: str,
-    max_files: int = 100,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """New CSV files: complete rows to ``output``, then the sources to ``archive``.
+def add_logins(messages_: DataFrame, target: str, rejects: str, run: str, number: int) -> None:
+    cached = clean.keep(messages_)
+    store.write_batch(relay.first_version(relay.parse_logins(cached)), target, run, number, LOGINS)
+    store.write_batch(relay.rejected_logins(cached), rejects, run, number)
+    cached.unpersist()
 
-    Output is partitioned by the name of the source file. Only the at most
-    ``max_files`` names of a batch reach the driver, which moves the files once
-    their rows are written.
-    """
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", max_files)
-        # A batch repeated after a crash may find files that were moved already;
-        # their rows are written, and only written folders are replaced.
-        .option("ignoreMissingFiles", True)
-    )
-    names = [f"`{f.name}`" for f in schema]
-    files = reader.csv(folder).select(*names, F.col("_metadata.file_path").alias("_file"))
 
-    def handle(batch: DataFrame, run: str, number: int) -> None:
-        cached = clean.keep(batch)
-        name = F.element_at(F.split("_file", "/"), -1)
-        source = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-        rows = clean.drop_incomplete(cached).withColumn("source_file", source).drop("_file")
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("header", True)
-            .partitionBy("source_file")
-            .csv(output)
-        )
-        for row in cached.select("_file").distinct().collect():
-            done = unquote(row["_file"])
-            if hadoop.exists(spark, done):
-                hadoop.move(spark, done, f"{archive}/{done.rsplit('/', 1)[-1]}")
-        cached.unpersist()
-
-    return _each_batch(files, checkpoint, handle, trigger)
+def read_logins(spark: SparkSession, target: str) -> DataFrame:
+    """One row per login id: of all its versions the one with the earliest event time."""
+    return relay.first_version(store.read_store(spark, target, LOGINS))
+
+
+def compact_logins(spark: SparkSession, target: str) -> bool:
+    """Maintenance of the login table: one version per id in a base."""
+    return store.compact(spark, target, LOGINS, relay.first_version)
+
+
+def compact_typed(spark: SparkSession, spec: TableSpec, target: str) -> bool:
+    """Maintenance of a typed table: few files a bucket, sorted by hash."""
+    return store.compact(spark, target, typed_layout(spec))
+
+
+def compact_sent(spark: SparkSession, ledger: str) -> bool:
+    """Maintenance of a ledger of sent ids."""
+    return store.compact(spark, ledger, SENT, DataFrame.distinct)
+
+
+def compact_states(spark: SparkSession, target: str) -> bool:
+    """Maintenance of the daily states: one merged state per day and type in a base."""
+    return store.compact(spark, target, STATES, rollup.fold_states)
+
+
+def expire_states(spark: SparkSession, target: str, keep_from: date) -> int:
+    """Remove the states of days before ``keep_from``; gives the number of folders removed."""
+    return store.expire_days(spark, target, STATES, keep_from.isoformat())
 
 
 def watch_counts(

@@ -92,11 +92,12 @@ def test_new_rows_both_ways_agree(spark):
     stored = [json.dumps({"purchase_id": str(i)}) for i in range(5)]
     batch = dedupe.unique_rows(documents.parse_documents(texts(spark, incoming), PURCHASES), PURCHASES)
     target = documents.parse_documents(texts(spark, stored), PURCHASES)
-    wide = dedupe.new_rows(batch, target, broadcast_keys=0)
-    narrow = dedupe.new_rows(batch, target)
-    ids = sorted(int(r["purchase_id"]) for r in narrow.collect())
-    assert ids == list(range(5, 20))
-    assert sorted(r["row_hash"] for r in wide.collect()) == sorted(r["row_hash"] for r in narrow.collect())
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (usual, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        ids = sorted(int(r["purchase_id"]) for r in dedupe.new_rows(batch, target).collect())
+        assert ids == list(range(5, 20))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
     assert dedupe.new_rows(batch, None).count() == 20
 
 

@@ -30,7 +30,7 @@ def test_landing_and_typing_survive_replays(spark, tmp_path):
         jobs.stream_parse(raw, PURCHASES, f"{root}/typed", f"{root}/parse{attempt}").awaitTermination()
 
     def typed():
-        return store.read_store(spark, f"{root}/typed", PURCHASES.schema)
+        return store.read_store(spark, f"{root}/typed", jobs.typed_layout(PURCHASES))
 
     run("")
     assert sorted(r["purchase_id"] for r in typed().collect()) == [f"p{i}" for i in range(6)]
@@ -56,7 +56,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType())])
     assert store.read_store(spark, path, schema).count() == 4
     assert store.read_store(spark, path, schema, without=("r1", 0)).count() == 2
-    assert store.read_store(spark, f"{tmp_path}/none", schema) is None
+    assert store.read_store(spark, f"{tmp_path}/none", schema).isEmpty()
 
 
 def test_run_belongs_to_its_checkpoint(spark, tmp_path):
@@ -71,7 +71,7 @@ def test_event_states_stream_equals_batch(spark, tmp_path):
     events.repartition(5).write.parquet(f"{tmp_path}/events")
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/events")
     jobs.stream_event_states(source, f"{tmp_path}/states", f"{tmp_path}/c").awaitTermination()
-    states = store.read_store(spark, f"{tmp_path}/states", jobs.STATE_SCHEMA)
+    states = store.read_store(spark, f"{tmp_path}/states", jobs.STATES)
     assert states.count() > 5 * 2
     assert rollup.merge_states(states).collect() == rollup.exact_rollup(events).collect()
 
@@ -111,7 +111,7 @@ def test_login_relay_end_to_end(spark, tmp_path):
     send(spark, resent, channel)
     stream = messages.stream_messages(spark, channel)
     jobs.consume_logins(stream, f"{root}/out", f"{root}/bad", f"{root}/consume").awaitTermination()
-    stored = store.read_store(spark, f"{root}/out", jobs.TYPED_LOGIN_SCHEMA)
+    stored = jobs.read_logins(spark, f"{root}/out")
     got = [tuple(r)[:4] for r in stored.orderBy("id").collect()]
     assert got == rows
     assert stored.where("processed_at IS NULL").isEmpty()
@@ -130,24 +130,6 @@ def test_unsent_rows_oldest_first(spark):
     assert message == {"id": 1, "user_id": 1, "event_type": "login", "event_timestamp": None}
 
 
-def test_csv_folder(spark, tmp_path):
-    folder, out, archive = (tmp_path / n for n in ("in", "out", "archive"))
-    folder.mkdir()
-    (folder / "one file.csv").write_text("ds, member\n2025-01-01, zzzzz\n2025-01-02,\n", encoding="utf-8")
-    (folder / "notes.txt").write_text("not a table", encoding="utf-8")
-    schema = T.StructType([T.StructField("ds", T.StringType()), T.StructField("member", T.StringType())])
-
-    def run():
-        jobs.csv_folder_stream(spark, str(folder), str(out), str(archive), schema, str(tmp_path / "c")).awaitTermination()
-        return sorted(tuple(r) for r in spark.read.option("header", True).csv(str(out)).select("ds", "member", "source_file").collect())
-
-    assert run() == [("2025-01-01", "zzzzz", "one file.csv")]
-    assert sorted(p.name for p in folder.iterdir()) == ["notes.txt"]
-    assert [p.name for p in archive.iterdir() if not p.name.startswith(".")] == ["one file.csv"]
-    (folder / "two.csv").write_text("ds, member\n2025-02-01,b\n", encoding="utf-8")
-    assert run() == [("2025-01-01", "zzzzz", "one file.csv"), ("2025-02-01", "b", "two.csv")]
-
-
 def test_count_watch_fires_over_the_limit(spark, tmp_path):
     spark.range(10).repartition(2).write.parquet(f"{tmp_path}/t")
     source = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/t")
