@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -19,55 +20,86 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, _INVISIBLE, "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, also inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _code_point(number: Column) -> Column:
     padded = F.lpad(F.hex(number), 8, "0")
     known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     return F.when(known, F.decode(F.unhex(padded), "UTF-32"))
 
 
+# Names of HTML 5 in byte order and what they stand for, each as one literal that is split when the plan is optimised.
+_NAMES = sorted(n for n in html5 if n.endswith(";"))
+
+
+def _named(part: Column) -> Column:
+    """What a named reference stands for, by binary search; NULL for no such name."""
+    names = F.split(F.lit("\n".join(f"&{n}" for n in _NAMES)), "\n")
+    # A line feed stands for a name itself, so another character separates the values.
+    values = F.split(F.lit("\x1f".join(html5[n] for n in _NAMES)), "\x1f")
+
+    def halve(at: Column, step: Column) -> Column:
+        further = at + step
+        fits = (further <= len(_NAMES)) & (F.coalesce(F.get(names, further - 1), F.lit("")) <= part)
+        return F.when(fits, further).otherwise(at)
+
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(_NAMES).bit_length()))])
+    place = F.aggregate(steps, F.lit(0), halve)
+    return let(place, lambda i: F.when(F.get(names, i - 1) == part, F.get(values, i - 1)))
+
+
 def unescape(text: Column) -> Column:
     """Character references replaced once, left to right.
 
     Named references are those of HTML 5; numeric ones may be decimal or hexadecimal, of any length.
     """
-    names = F.create_map(*[F.lit(v) for n, c in html5.items() if n.endswith(";") for v in (f"&{n}", c)])
-
     def piece(part: Column) -> Column:
         decimal = F.regexp_extract(part, r"^&#0*(\d+);$", 1).try_cast("bigint")
         hexa = F.nullif(F.regexp_extract(part, r"^&#[xX]0*([0-9A-Fa-f]+);$", 1), F.lit(""))
         numeric = F.coalesce(decimal, F.conv(hexa, 16, 10).try_cast("bigint"))
         return (
             F.when(~part.startswith("&"), part)
-            .when(part.startswith("&#"), F.coalesce(_code_point(numeric), part))
-            .otherwise(F.coalesce(F.try_element_at(names, part), part))
+            .when(part == "&amp;", "&")
+            .when(part.startswith("&#"), F.coalesce(let(numeric, _code_point), part))
+            .otherwise(F.coalesce(_named(part), part))
         )
 
     decoded = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), piece), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
-def node_text(inner: Column) -> Column:
-    """Text of an element: each text piece trimmed, pieces joined without a separator."""
-    pieces = F.split(inner, r"<[^>]*>")
-    cleaned = F.transform(
-        pieces, lambda p: F.regexp_replace(unescape(p), r"^[\s ]+|[\s ]+$", "")
-    )
-    return F.array_join(cleaned, "")
+# A tag with quoted values, any other thing in angle brackets, a stretch of text, or a bracket that opens nothing.
+_TOKEN = r"""</?[A-Za-z](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|<[^>]*>|[^<]+|<"""
+_NAME = r"^</?([A-Za-z][^\s/>]*)"
+_CLASS = r"""(?i)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
 
 
-def first_inner(html: Column, tag: str, classes: tuple[str, ...] = ()) -> Column:
-    """Inner HTML of the first ``tag`` that carries all ``classes``; NULL when absent."""
-    guards = "".join(
-        rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}[\s>]))"""
-        for c in classes
-    )
-    pattern = rf"(?is)<{tag}(?=[\s>]){guards}[^>]*>(.*?)</{tag}\s*>"
-    return F.regexp_extract(F.regexp_substr(html, F.lit(pattern)), pattern, 1)
+def tokens(html: Column) -> Column:
+    """The page as an array of (tag, closes, classes, text), in order.
 
+    A tag has its name in lower case and its classes between blanks; a text has NULL as tag, is unescaped and trimmed.
+    Comments, scripts and style blocks are left out.
+    """
+    def name(part: Column) -> Column:
+        is_tag = part.startswith("<") & (F.length(part) > 1)
+        return F.struct(part.alias("part"), F.when(is_tag, F.lower(F.regexp_extract(part, _NAME, 1))).alias("tag"))
+
+    def read(named: Column) -> Column:
+        part, tag = named.part, named.tag
+        classes = F.translate(F.regexp_extract(part, _CLASS, 1), "\"'\t\n\f\r", "      ")
+        text = F.regexp_replace(unescape(part), r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+        return F.struct(
+            tag.alias("tag"),
+            part.startswith("</").alias("closes"),
+            F.when(tag.isin("p", "ul"), F.concat(F.lit(" "), classes, F.lit(" "))).alias("classes"),
+            F.when(tag.isNull(), text).alias("text"),
+        )
 
-def all_inner(html: Column, tag: str) -> Column:
-    pattern = rf"(?is)<{tag}(?=[\s>])[^>]*>(.*?)</{tag}\s*>"
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    # Two steps, as an expression named inside a lambda is worked out at each of its uses.
+    return F.transform(F.transform(F.regexp_extract_all(visible(html), F.lit(_TOKEN), F.lit(0)), name), read)
 
 
 def hrefs(html: Column) -> Column:

@@ -117,10 +117,15 @@ _PHONE = """CASE c_custkey % 5
   WHEN 3 THEN '+49 (30) ' || CAST(c_custkey AS STRING)
   ELSE NULL END"""
 
-_ITEM_HTML = """'<html><body><ul class="breadcrumb"><li><a href="/">Home</a></li><li><a href="/t/' || p_type || '">' || p_type
+# Every third trail holds a list within an item, every fifth price a blank behind its thousands, some stocks more than a number.
+_ITEM_HTML = """'<html><body><ul class="breadcrumb"><li><a href="/">Home</a>'
+  || CASE WHEN p_partkey % 3 = 0 THEN '<ul><li><a href="/s">Sub &gt; list</a></li><li>plain</li></ul>' ELSE '' END
+  || '</li><li><a href="/t/' || p_type || '">' || p_type
   || '</a></li><li class="active">' || p_name || '</li></ul><h1> ' || p_name || ' &amp; co </h1><p class="price_color">£'
+  || CASE WHEN p_partkey % 5 = 1 THEN '1 ' ELSE '' END
   || REPLACE(CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING), '.', ',') || '</p><p class="instock availability"><i class="icon-ok"></i> '
-  || CASE WHEN p_partkey % 4 = 0 THEN 'Out of stock' ELSE 'In stock (' || CAST(p_size AS STRING) || ' available)' END || ' </p></body></html>'"""
+  || CASE WHEN p_partkey % 4 = 0 THEN 'Out of stock' ELSE 'In stock (' || CAST(p_size AS STRING) || ' available'
+     || CASE WHEN p_partkey % 7 = 2 THEN ' now)' ELSE ')' END END || ' </p></body></html>'"""
 
 COMMON = {
     "v_sales": f"""

@@ -199,6 +199,46 @@ def test_csv_report_as_a_folder(spark, tmp_path):
     assert sinks.write_csv_if_any(spark.range(2), f"{tmp_path}/some") is True
 
 
+PAGES = {
+    "nested": ("<ul class='x breadcrumb'><li><a>x</a><ul><li><a>b</a></li></ul></li><li><a>c</a></li><li>d</li></ul><a>out</a>", "x > b > c"),
+    "unclosed": ("<ul class=breadcrumb><li><a>one<li><a>two</ul><li><a>no</a></li>", "one > two"),
+    "two": ("<ul class='breadcrumb'><li><a>1</a></ul><ul class='breadcrumb'><li><a>2</a></li></ul>", "1 > 2"),
+    "bracket": ("<ul class='breadcrumb' title='a > b'><li><a title=\"</a>\">in &lt;b&gt;</a></li></ul>", "in <b>"),
+    "open end": ("<ul class='breadcrumb'><li><a>never closed", "never closed"),
+    "no items": ("<ul class='breadcrumb'><a>no item</a></ul>", ""),
+}
+PRICES = {
+    "£1 234,50": ("£", 1234.5), "$ 5": ("$", 5.0), "12": ("", 12.0), "1.2.3 EUR": ("", None), "free": ("free", 0.0), ".": ("", None),
+    "€&nbsp;7": ("€", 7.0), "": ("", 0.0),
+}
+STOCKS = {
+    "In stock (5 available)": 5, "In stock (5 available now)": None, "(7&nbsp;AVAILABLE)": 7, "( 5 available)": None,
+    "(99999999999999999999 available)": None, "": None,
+}
+
+
+def test_item_pages_are_read_by_their_structure(spark):
+    pages = spark.createDataFrame([(u, h) for u, (h, _) in PAGES.items()], "url string, html string")
+    got = {r["url"]: r["breadcrumbs"] for r in web.extract_fields(pages, ["breadcrumbs"]).collect()}
+    assert got == {u: trail for u, (_, trail) in PAGES.items()}
+
+
+def test_price_and_stock_rules(spark):
+    rows = [(p, f"<h1>a<b> c </b></h1><p class='price_color'>{p}<p class='other'>9</p>") for p in PRICES]
+    got = {r["url"]: (r["price_currency"], r["price_amount"]) for r in web.extract_fields(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert got == PRICES
+    rows = [(s, f"<P CLASS='availability  instock'><i></i> {s} </P>") for s in STOCKS]
+    got = {r["url"]: r["instock_qty"] for r in web.extract_fields(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert got == STOCKS
+
+
+def test_fields_come_from_one_reading_of_the_page(spark):
+    pages = spark.createDataFrame([("u", "<h1>x</h1>")], "url string, html string")
+    kept = web.extract_fields(pages).where("instock_qty > 0 and price_amount > 1")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp") <= 20 and plan.count("tag") > 1 and plan.count("price_color") == 1
+
+
 ITEM = """<html><body><ul class='breadcrumb'><li><a href="/">Home</a></li><li> <a href="/b"> Books </a></li><li class="active">X</li></ul>
 <h1>Tom <b>&amp; Jerry</b></h1><p class="other price_color">&pound;51.77</p>
 <p class="instock availability"><i></i> In stock (22 available) </p><p class="instock availability">Other</p></body></html>"""
