@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.convert import at
-from storelens.operators.lookup import sized_join
 
 
 def _before(now: datetime, days: int):
@@ -38,7 +37,7 @@ def inactive_users(
 def tag_archived(events: DataFrame, ids: DataFrame) -> DataFrame:
     """Every event with ``archived``: one pass gives both sides of the split."""
     marks = ids.select("user_id", F.lit(True).alias("archived"))
-    tagged = sized_join(events, marks, ["user_id"], "left")
+    tagged = events.join(marks, "user_id", "left")
     return tagged.withColumn("archived", F.coalesce("archived", F.lit(False)))
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.convert import at, flag
-from storelens.operators.lookup import sized_join
 
 # Product groups as they are named in the documents.
 PRODUCT_GROUPS = {
@@ -72,36 +71,16 @@ class RunTime:
 
 
 def with_cart(purchases: DataFrame, config: FeatureConfig) -> DataFrame:
-    """Add ``cart``, the categories in the purchase, one element per item; NULL without items."""
-    items = F.lower(F.col("items"))
+    """Add ``cart``, the categories in the purchase, and ``products``, one element per item; NULL without items."""
     if config.items_are_json:
-        cart = F.from_json(items, "array<struct<category:string>>")["category"]
-    else:
-        cart = F.split("items", ",")
-    return purchases.withColumn("cart", cart)
+        items = F.from_json(F.lower(F.col("items")), "array<struct<category:string,product_id:string>>")
+        # The one-element explode keeps later steps from parsing the text again.
+        parsed = purchases.withColumn("parsed_", F.explode(F.array(items)))
+        return parsed.withColumns({"cart": F.col("parsed_")["category"], "products": F.col("parsed_")["product_id"]}).drop("parsed_")
+    return purchases.withColumns({"cart": F.split("items", ","), "products": F.lit(None).cast("array<string>")})
 
 
-def mark_organic(purchases: DataFrame, products: DataFrame) -> DataFrame:
-    """Add ``has_organic``: the cart holds a product whose ``is_organic`` is set.
-
-    Only (purchase, product) pairs are shuffled, and only the purchases that
-    match come back.
-    """
-    pairs = purchases.select(
-        "purchase_id",
-        F.explode(
-            F.from_json(F.lower(F.col("items")), "array<struct<product_id:string>>")["product_id"]
-        ).alias("product_id"),
-    ).distinct()
-    organic = products.where("is_organic").select("product_id").distinct()
-    hits = sized_join(pairs, organic, ["product_id"], "left_semi").select("purchase_id").distinct()
-    marked = purchases.join(hits.withColumn("has_organic", F.lit(True)), "purchase_id", "left")
-    return marked.withColumn("has_organic", F.coalesce("has_organic", F.lit(False)))
-
-
-def _group_test(config: FeatureConfig, group: str, columns: list[str]) -> Column:
-    if group == "organic" and "has_organic" in columns:
-        return F.col("has_organic")
+def _group_test(config: FeatureConfig, group: str) -> Column:
     wanted = config.groups[group].lower()
     if config.items_are_json and group != "organic":
         return F.array_contains("cart", wanted)
@@ -111,11 +90,10 @@ def _group_test(config: FeatureConfig, group: str, columns: list[str]) -> Column
 def _facts(purchases: DataFrame, run: RunTime, config: FeatureConfig) -> DataFrame:
     """What the measures look at, worked out once per purchase."""
     bought_at = F.col("purchase_datetime")
-    groups = {f"has_{g}": _group_test(config, g, purchases.columns) for g in PRODUCT_GROUPS}
+    groups = {f"has_{g}": _group_test(config, g) for g in PRODUCT_GROUPS}
+    carried = [c for c in ("purchase_id",) if c in purchases.columns]
     return purchases.select(
-        "customer_id",
-        "payment_method",
-        bought_at,
+        "customer_id", "store_city", "store_id", "cart", "products", "payment_method", bought_at, *carried,
         F.col("total_amount").alias("amount"),
         (F.col("is_delivery").cast("int") == 1).alias("delivered"),
         F.size("cart").alias("cart_size"),
@@ -151,42 +129,107 @@ def _counted(run: RunTime) -> dict[str, Column]:
     return counted
 
 
-def _measures(purchases: DataFrame, run: RunTime, config: FeatureConfig) -> DataFrame:
-    def mean(name: str) -> Column:
-        return F.try_divide(F.sum(name).cast("double"), F.count(name))
-
-    return _facts(purchases, run, config).groupBy("customer_id").agg(
-        F.count("*").alias("total_purchases"),
-        mean("amount").alias("avg_cart_value"),
-        F.max("amount").alias("max_cart_value"),
-        F.min("amount").alias("min_cart_value"),
-        F.max("purchase_datetime").alias("last_purchase_date"),
-        F.min("purchase_datetime").alias("first_purchase_date"),
-        F.sum(F.when(F.col("in_7d"), F.col("amount"))).alias("total_spent_7d"),
-        mean("cart_size").alias("avg_cart_size"),
-        *[F.count_if(test).alias(name) for name, test in _counted(run).items()],
-    )
-
+def customer_cube(
+    purchases: DataFrame,
+    ds: str,
+    as_of: datetime | None = None,
+    config: FeatureConfig | None = None,
+    products: DataFrame | None = None,
+) -> DataFrame:
+    """Everything the metrics need, from one reading of the purchases: (customer_id, kind, value) and the measures.
 
-def _distincts(purchases: DataFrame) -> DataFrame:
-    """Distinct cities, stores and purchase days per customer.
+    A customer has a row of kind ``day`` for each day with purchases, which carries that day's counts, sums and bounds, and a row
+    without measures for each distinct ``city``, ``store`` and ``category``. With ``products`` there is one of kind
+    ``organic`` for each purchase whose cart holds a product with ``is_organic``; then carts are JSON and purchases have ids.
+    Rows of several cubes of one run can be put together and aggregated again, distinct values stay exact.
 
-    Kept apart from the measures, so that only these narrow columns are expanded
-    per counted value. Values are made unique before they are counted, which spreads
-    a customer with very many purchases over tasks.
+    Rows of a customer with very many purchases are combined before they are shuffled and then lie by value.
     """
-    return purchases.groupBy("customer_id").agg(
-        F.countDistinct("store_city").alias("unique_cities"),
-        F.countDistinct("store_id").alias("unique_stores"),
-        F.countDistinct(F.to_date("purchase_datetime")).alias("unique_purchase_days"),
+    config = config or FeatureConfig()
+    run = RunTime.of(ds, as_of)
+    known = purchases.where(F.col("customer_id").isNotNull())
+    if config.bounded:
+        known = known.where(F.col("purchase_datetime") <= at(run.as_of))
+    counted = _counted(run)
+    facts = _facts(with_cart(known, config), run, config)
+    measured = F.struct(
+        "amount", "purchase_datetime", "cart_size", F.when(F.col("in_7d"), F.col("amount")).alias("recent"),
+        *[test.alias(name) for name, test in counted.items()],
+    )
+    facts = facts.withColumn("m", measured)
+
+    def row(kind: str, value: Column, m: Column, product: Column | None = None) -> Column:
+        none = F.lit(None).cast("string")
+        return F.struct(
+            F.lit(kind).alias("kind"), value.cast("string").alias("value"), m.alias("m"),
+            (none if product is None else product).alias("product"),
+        )
+
+    blank = F.when(F.lit(False), F.col("m"))
+    rows = [
+        F.array(
+            row("day", F.to_date("purchase_datetime"), F.col("m")),
+            row("city", F.col("store_city"), blank), row("store", F.col("store_id"), blank),
+        ),
+        F.coalesce(F.transform(F.array_distinct("cart"), lambda c: row("category", c, blank)), F.array()),
+    ]
+    if products is not None:
+        marks = F.transform(F.array_distinct("products"), lambda p: row("organic", F.col("purchase_id"), blank, p))
+        rows.append(F.coalesce(marks, F.array()))
+    useful = F.filter(F.concat(*rows), lambda r: (r.kind == "day") | r.value.isNotNull())
+    tall = facts.select("customer_id", F.explode(useful).alias("row_")).select("customer_id", "row_.*")
+    if products is not None:
+        tall = _organic_rows(tall, products)
+    m = F.col
+    return tall.groupBy("customer_id", "kind", "value").agg(
+        F.count("m").alias("total_purchases"),
+        F.sum("m.amount").alias("amount"), F.count("m.amount").alias("amounts"),
+        F.max("m.amount").alias("max_cart_value"), F.min("m.amount").alias("min_cart_value"),
+        F.max("m.purchase_datetime").alias("last_purchase_date"), F.min("m.purchase_datetime").alias("first_purchase_date"),
+        F.sum("m.recent").alias("total_spent_7d"),
+        F.sum("m.cart_size").alias("cart_size"), F.count("m.cart_size").alias("carts"),
+        *[F.count_if(m(f"m.{name}")).alias(name) for name in counted],
     )
 
 
-def _diversity(purchases: DataFrame) -> DataFrame:
-    """Distinct categories in all carts of a customer."""
-    pairs = purchases.select("customer_id", F.explode(F.array_distinct("cart")).alias("category"))
-    unique = pairs.where("category IS NOT NULL").distinct()
-    return unique.groupBy("customer_id").agg(F.count("*").alias("unique_categories"))
+def _organic_rows(tall: DataFrame, products: DataFrame) -> DataFrame:
+    """Rows of kind ``organic`` only where the product is one; the other rows pass.
+
+    Only these narrow rows of cart elements meet the products, never the purchases. Rows without a product get keys
+    that no product has, spread so that they are no frequent key.
+    """
+    organic = products.where("is_organic").select(F.col("product_id").alias("organic_")).distinct()
+    spread = F.concat(F.lit("\n"), F.pmod(F.xxhash64("customer_id", "kind", "value"), F.lit(100_000)).cast("string"))
+    keyed = tall.withColumn("key_", F.coalesce("product", spread))
+    met = keyed.join(organic, F.col("key_") == F.col("organic_"), "left")
+    return met.where((F.col("kind") != "organic") | F.col("organic_").isNotNull()).drop("key_", "organic_", "product")
+
+
+def merge_cubes(cube: DataFrame) -> DataFrame:
+    """One row per customer, kind and value of cubes put together."""
+    same = {"last_purchase_date": F.max, "first_purchase_date": F.min, "max_cart_value": F.max, "min_cart_value": F.min}
+    keys = ["customer_id", "kind", "value"]
+    return cube.groupBy(*keys).agg(*[same.get(c, F.sum)(c).alias(c) for c in cube.columns if c not in keys])
+
+
+def metrics_of(cube: DataFrame, by_product: bool = False) -> DataFrame:
+    """The metrics of each customer from a cube; ``by_product`` counts organic purchases by their products."""
+    kinds = {"city": "unique_cities", "store": "unique_stores", "category": "unique_categories"}
+    same = {"last_purchase_date": F.max, "first_purchase_date": F.min, "max_cart_value": F.max, "min_cart_value": F.min}
+    means = {"avg_cart_value": ("amount", "amounts"), "avg_cart_size": ("cart_size", "carts")}
+    used = {c for pair in means.values() for c in pair} | {"customer_id", "kind", "value"}
+    sums = [same.get(c, F.sum)(c).alias(c) for c in cube.columns if c not in used]
+    found = cube.groupBy("customer_id").agg(
+        *sums,
+        *[F.try_divide(F.sum(total).cast("double"), F.sum(number)).alias(name) for name, (total, number) in means.items()],
+        F.count_if((F.col("kind") == "day") & F.col("value").isNotNull()).alias("unique_purchase_days"),
+        *[F.count_if(F.col("kind") == kind).alias(name) for kind, name in kinds.items()],
+        F.count_if(F.col("kind") == "organic").alias("by_product_"),
+    )
+    if by_product:
+        found = found.withColumn("organic_purchases", F.col("by_product_"))
+    found = found.drop("by_product_")
+    return found.fillna(0, subset=[c for c in found.columns if c != "customer_id"])
 
 
 def customer_metrics(
@@ -194,25 +237,14 @@ def customer_metrics(
     ds: str,
     as_of: datetime | None = None,
     config: FeatureConfig | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """One row per known customer: counts, sums and recency of the purchases.
 
-    Plain measures, distinct values and distinct categories are three aggregations
-    that all end up partitioned by customer, so joining them moves no data.
+    With ``products(product_id, is_organic)`` a purchase is organic when its cart holds such a product, otherwise
+    when the text of its cart says so.
     """
-    config = config or FeatureConfig()
-    run = RunTime.of(ds, as_of)
-    known = purchases.where(F.col("customer_id").isNotNull())
-    if config.bounded:
-        known = known.where(F.col("purchase_datetime") <= at(run.as_of))
-    carts = with_cart(known, config)
-    metrics = (
-        _measures(carts, run, config)
-        .join(_distincts(carts), "customer_id", "left")
-        .join(_diversity(carts), "customer_id", "left")
-    )
-    numeric = [c for c in metrics.columns if c != "customer_id"]
-    return metrics.fillna(0, subset=numeric)
+    return metrics_of(customer_cube(purchases, ds, as_of, config, products), products is not None)
 
 
 def _flags(run: RunTime, config: FeatureConfig) -> dict[str, Column]:
@@ -268,10 +300,11 @@ def customer_features(
     ds: str,
     as_of: datetime | None = None,
     config: FeatureConfig | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """The 30 flags of each customer for the partition day ``ds``."""
     config = config or FeatureConfig()
-    metrics = customer_metrics(purchases, ds, as_of, config)
+    metrics = customer_metrics(purchases, ds, as_of, config, products)
     flags = _flags(RunTime.of(ds, as_of), config)
     return metrics.select(
         "customer_id",

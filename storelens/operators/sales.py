@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions import convert
-from storelens.operators import clean, lookup
+from storelens.operators import clean
 
 MONEY = "decimal(10,2)"
 SALES_TYPES = {"price_per_unit": MONEY, "total_spent": MONEY, "quantity": "int"}
@@ -45,11 +45,13 @@ def item_dictionary(df: DataFrame) -> DataFrame:
     return names.groupBy("category", "price_per_unit").agg(F.max("item").alias("known_item"))
 
 
-def recover_item(df: DataFrame, broadcast_bytes: int = lookup.BROADCAST_BYTES) -> DataFrame:
-    """Missing items from the dictionary; rows without category or price stay as they are."""
+def recover_item(df: DataFrame) -> DataFrame:
+    """Missing items from the dictionary; rows without category or price stay as they are.
+
+    The dictionary is small or it is not: the join is planned by its measured size, and a frequent price is split.
+    """
     named = df.where("item IS NOT NULL AND category IS NOT NULL AND price_per_unit IS NOT NULL")
-    keys = ["category", "price_per_unit"]
-    found = lookup.sized_join(df, item_dictionary(named), keys, "left", broadcast_bytes)
+    found = df.join(item_dictionary(named), ["category", "price_per_unit"], "left")
     return found.withColumn("item", F.coalesce("item", "known_item")).select(*df.columns)
 
 

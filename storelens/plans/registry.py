@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from storelens.operators import (
     archive, audit, clean, dedupe, documents, quality, relay, retention, rollup, sales, web,
 )
 from storelens.operators.features import (
-    FeatureConfig, customer_features, customer_metrics, mark_organic,
+    FeatureConfig, customer_features, customer_metrics,
 )
 from storelens.plans.daily import features_schema
 from storelens.plans.views import table, view
@@ -112,6 +113,11 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return customer_features(view(spark, sf, "v_purchases"), RUN_DS, None, RETAIL_CONFIG)
 
 
+def _json_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The flags from carts that are JSON arrays of several items."""
+    return customer_features(view(spark, sf, "v_purchases_json"), RUN_DS, None, replace(RETAIL_CONFIG, items_are_json=True))
+
+
 def _latest_report(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{scratch(spark)}/features"
     purchases = view(spark, sf, "v_purchases")
@@ -223,8 +229,8 @@ def _typed_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """From JSON documents to metrics: unique purchases with JSON carts and organic products."""
     typed = documents.parse_documents(view(spark, sf, "v_raw_purchases"), PURCHASES)
     products = documents.parse_documents(view(spark, sf, "v_raw_products"), PRODUCTS)
-    marked = mark_organic(dedupe.unique_rows(typed, PURCHASES), products)
-    return customer_metrics(marked, RUN_DS).select(
+    unique = dedupe.unique_rows(typed, PURCHASES)
+    return customer_metrics(unique, RUN_DS, products=products).select(
         "customer_id", "total_purchases", "card_purchases", "delivery_purchases", "unique_stores",
         "milk_purchases", "organic_purchases", "avg_cart_size", "single_item_purchases", "unique_categories",
     )
@@ -386,6 +392,13 @@ def _item_urls(spark: SparkSession, sf: str) -> DataFrame:
     return web.item_urls(urls, ".example.com/the", start)
 
 
+def _site_crawl(spark: SparkSession, sf: str) -> DataFrame:
+    """A walk over half of the given pages by their own links, each page at one of the addresses they link to."""
+    pages = view(spark, sf, "v_linked_site")
+    start = pages.where("place = 0").first()["url"]
+    return web.crawl_frontier(pages, web.page_links(pages), start, pages.count() // 2)
+
+
 def _crawl(spark: SparkSession, sf: str) -> DataFrame:
     pages = view(spark, sf, "v_site")
     return web.crawl_frontier(pages, web.page_links(pages), "http://shop.example/p/0", 100)
@@ -420,6 +433,7 @@ def queries() -> dict[str, Query]:
         "sales_by_month": _sold(sales.sales_by_month),
         "customer_ltv_top10": _sold(sales.top_customers),
         "customer_features": _features,
+        "customer_features_json": _json_features,
         "latest_partition_report": _latest_report,
         "event_rollup_exact": _over("v_events", rollup.exact_rollup),
         "event_rollup_sketch": _over("v_events", _sketch_rollup),
@@ -466,6 +480,7 @@ def queries() -> dict[str, Query]:
         "page_links_same_host": lambda spark, sf: web.same_host_links(_links(spark, sf)),
         "item_pages": _item_urls,
         "crawl_frontier": _crawl,
+        "crawl_site": _site_crawl,
         "page_fields": _page_fields,
         "item_fields": _item_fields,
         "complete_items": _complete_items,

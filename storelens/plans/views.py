@@ -6,6 +6,8 @@ text describes the input in both engines; what is computed from it differs.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -170,13 +172,27 @@ SELECT page_id, 'http://shop.example/p/' || CAST(page_id AS STRING) AS url,
   '<a href="/p/' || CAST((3 * page_id + 1) % (SELECT count(*) FROM pages) AS STRING) || '">next</a><a href="../p/'
   || CAST((7 * page_id + 2) % (SELECT count(*) FROM pages) AS STRING) || '">more</a><a href="#top">top</a><a href="http://else.example/">out</a>' AS html
 FROM pages""",
+    # The given pages lie at the addresses they link to most often.
+    "v_linked_site": """
+SELECT 'http://shop.example' || l.link AS url, p.html, l.place FROM v_site_links l
+  JOIN (SELECT html, row_number() OVER (ORDER BY page_id) - 1 AS place FROM pages) p ON p.place = l.place""",
     "v_item_pages": f"SELECT 'http://shop.example/item/' || CAST(p_partkey AS STRING) AS url, {_ITEM_HTML} AS html, p_partkey, p_name, p_type, p_retailprice, p_size FROM part",
     "v_folder": """
 SELECT c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS member,
   CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer""",
 }
 
+_JSON_ITEM = """'{"category":"' || split_part(p.p_type, ' ', 1) || '","product_id":"' || CAST(p.p_partkey AS STRING) || '"}'"""
+
 SPARK = {
+    "v_site_links": r"""
+SELECT link, row_number() OVER (ORDER BY count(*) DESC, link) - 1 AS place
+FROM (SELECT explode(regexp_extract_all(html, '<a\\s+href="(/[^"/]*)"', 1)) AS link FROM pages) GROUP BY link""",
+    "v_purchases_json": _PURCHASES.format(
+        payment=_PAYMENT,
+        items=f"'[' || array_join(array_sort(collect_list({_JSON_ITEM})), ',') || ']'",
+        ts="timestampadd(HOUR, CAST((o.o_orderkey * 7) % 24 AS INT), timestampadd(DAY, -CAST(o.o_orderkey % 120 AS INT), TIMESTAMP'2001-08-01 00:00:00'))",
+    ),
     "v_purchases": _PURCHASES.format(
         payment=_PAYMENT,
         items="array_join(array_sort(collect_list(p.p_type)), ',')",
@@ -185,6 +201,14 @@ SPARK = {
 }
 
 DUCKDB = {
+    "v_site_links": r"""
+SELECT link, row_number() OVER (ORDER BY count(*) DESC, link) - 1 AS place
+FROM (SELECT unnest(regexp_extract_all(html, '<a\s+href="(/[^"/]*)"', 1)) AS link FROM pages) GROUP BY link""",
+    "v_purchases_json": _PURCHASES.format(
+        payment=_PAYMENT,
+        items=f"'[' || array_to_string(list_sort(list({_JSON_ITEM})), ',') || ']'",
+        ts="TIMESTAMP '2001-08-01' - to_days(CAST(o.o_orderkey % 120 AS INT)) + to_hours(CAST((o.o_orderkey * 7) % 24 AS INT))",
+    ),
     "v_purchases": _PURCHASES.format(
         payment=_PAYMENT,
         items="array_to_string(list_sort(list(p.p_type)), ',')",
@@ -199,11 +223,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of a derived input."""
-    text = {**COMMON, **SPARK}[name]
+    texts = {**COMMON, **SPARK}
+    frames: dict[str, DataFrame] = {}
+    for inner in re.findall(r"\bv_\w+", texts[name]):
+        frames.setdefault(inner, view(spark, sf_dir, inner))
     for base in TABLES:
-        if base in text:
-            table(spark, sf_dir, base).createOrReplaceTempView(base)
-    return spark.sql(text)
+        if re.search(rf"\b{base}\b", texts[name]):
+            frames[base] = table(spark, sf_dir, base)
+    # Frames are parameters of the text: no name is registered in the session.
+    named = re.sub(r"\b(FROM|JOIN)\s+(\w+)", lambda m: f"{m[1]} {{{m[2]}}}" if m[2] in frames else m[0], texts[name].replace("{", "{{").replace("}", "}}"))
+    return spark.sql(named, **frames)
 
 
 def duckdb_with(*names: str) -> str:

@@ -95,19 +95,39 @@ def test_organic_comes_from_the_product_table(spark):
     rows = [purchase("1", "a", datetime(2024, 3, 1)), purchase("2", "b", datetime(2024, 3, 1), items="[]"), purchase("3", "c", datetime(2024, 3, 1), items=None)]
     df = spark.createDataFrame(rows, SCHEMA)
     products = spark.createDataFrame([("p2", True), ("p1", False)], "product_id string, is_organic boolean")
-    marked = features.mark_organic(df, products)
-    flags = {r["customer_id"]: r["organic_preference"] for r in features.customer_features(marked, "20240331").collect()}
+    found = features.customer_features(df, "20240331", products=products)
+    flags = {r["customer_id"]: r["organic_preference"] for r in found.collect()}
     assert flags == {"a": 1, "b": 0, "c": 0}
 
 
-def test_joins_move_no_data_and_nothing_is_sorted_to_aggregate(spark):
+def test_organic_purchases_are_counted_once(spark):
+    both = '[{"product_id":"p1","category":"x"},{"product_id":"P2","category":"x"}]'
+    rows = [purchase(str(n), "a", datetime(2024, 3, 1), items=both) for n in range(3)] + [purchase("9", "a", datetime(2024, 3, 1), items="[]")]
+    products = spark.createDataFrame([("p1", True), ("p2", True), ("p2", True), (None, True)], "product_id string, is_organic boolean")
+    got = features.customer_metrics(spark.createDataFrame(rows, SCHEMA), "20240331", products=products).first()
+    assert (got["organic_purchases"], got["total_purchases"], got["unique_categories"]) == (3, 4, 1)
+
+
+def test_cubes_of_parts_give_the_same_metrics(spark):
+    purchases = view(spark, SF_DIR, "v_purchases")
+    whole = features.customer_metrics(purchases, RUN_DS, None, RETAIL_CONFIG)
+    cubes = [features.customer_cube(purchases.where(F.col("purchase_id") % 3 == n), RUN_DS, None, RETAIL_CONFIG) for n in range(3)]
+    merged = features.metrics_of(features.merge_cubes(reduce(lambda a, b: a.unionByName(b), cubes))).select(*whole.columns)
+    assert merged.count() == whole.count()
+    assert merged.exceptAll(whole).isEmpty()
+
+
+def test_purchases_are_read_once_and_nothing_is_sorted_to_aggregate(spark):
     purchases = view(spark, SF_DIR, "v_purchases").checkpoint()
+    products = spark.createDataFrame([("p2", True)], "product_id string, is_organic boolean")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = features.customer_metrics(purchases, RUN_DS, AS_OF, RETAIL_CONFIG)._jdf.queryExecution().executedPlan().toString()
+        plain = features.customer_metrics(purchases, RUN_DS, AS_OF, RETAIL_CONFIG)
+        json_ = features.customer_metrics(purchases, RUN_DS, AS_OF, products=products)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (plain, json_)]
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 5
-    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert plans[0].count("Exchange hashpartitioning") == 2 and "Join" not in plans[0]
+    for plan in plans:
+        assert plan.count("ExistingRDD[purchase_id") == 1
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

@@ -255,6 +255,21 @@ def test_item_fields(spark):
     assert (got["u4"]["price_currency"], got["u4"]["price_amount"]) == ("free", 0.0)
 
 
+def test_the_plan_of_a_round_does_not_grow(spark, monkeypatch):
+    sizes, real = [], web.maybe_among
+
+    def watched(frame, keys, key):
+        found = real(frame, keys, key)
+        sizes.append(len(keys.join(found, key, "left_anti")._jdf.queryExecution().optimizedPlan().toString()))
+        return found
+
+    monkeypatch.setattr(web, "maybe_among", watched)
+    pages, links = site(spark, {f"n{n:03}": [f"n{n + 1:03}", "n000"] for n in range(30)})
+    got = web.crawl_frontier(pages, links, "http://h.example/n000", 100).orderBy("url").collect()
+    assert [(r["url"][-3:], r["round"], r["visited"]) for r in got] == [(f"{n:03}", n, n < 30) for n in range(31)]
+    assert len(sizes) == 30 and max(sizes) <= min(sizes) + 100
+
+
 def site(spark, graph):
     rows = [(f"http://h.example/{p}", "".join(f'<a href="/{q}">x</a>' for q in qs) or "<p>end</p>") for p, qs in graph.items()]
     pages = spark.createDataFrame(rows, "url string, html string")

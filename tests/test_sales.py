@@ -7,7 +7,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from storelens.operators import clean, sales
-from storelens.operators.lookup import sized_join, smallest
 from storelens.plans.views import view
 from storelens.sources.files import read_sales_csv
 from storelens.sources.specs import SALES_CSV_SCHEMA
@@ -59,34 +58,6 @@ def test_quantity_is_truncated(spark):
     assert row["quantity"] == 3 and row["total_spent"] == D("9.00")
 
 
-def test_large_dictionary_gives_the_same_items(spark):
-    base = sales.recover_price(view(spark, SF_DIR, "v_sales"))
-    small, large = sales.recover_item(base), sales.recover_item(base, broadcast_bytes=0)
-    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
-
-
-def test_sized_join_takes_every_way_to_the_same_rows(spark):
-    # A third of the rows has key 0, some have no key, keys 7 to 9 are not in the dictionary.
-    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 11 != 0, F.col("id") % 10)
-    facts = spark.range(300).select(key.cast("long").alias("k"), F.lit("x").alias("v"))
-    keyed = spark.range(7).select(F.col("id").alias("k"), F.concat(F.lit("name "), "id").alias("name"))
-    for how, side in (("left", keyed), ("left_semi", keyed.select("k")), ("left_anti", keyed.select("k"))):
-        expected = facts.join(side, ["k"], how)
-        assert expected.count() > 0
-        for hot_keys in (0, 1, 3, 100):
-            got = sized_join(facts, side, ["k"], how, broadcast_bytes=0, hot_keys=hot_keys, sample=1.0)
-            assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty(), (how, hot_keys)
-        got = sized_join(facts, side, ["k"], how)
-        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
-
-
-def test_smallest_from_a_global_sort(spark):
-    df = spark.range(1000).select(F.format_string("%04d", F.col("id")).alias("u"), "id").repartition(7)
-    for n in (0, 1, 137, 999, 1000, 5000):
-        got = sorted(r["u"] for r in smallest(df, "u", n, in_one_merge=0).collect())
-        assert got == [f"{i:04d}" for i in range(min(n, 1000))]
-
-
 def test_bucketed_rank_equals_dense_rank(spark):
     prices = [None, "0.01", "0.02", "99.99", "100.00", "100.00", "250.50", "-5.00", "-100.00", "99999999.99"]
     rows = [sale(str(i), f"i{i % 3}", p, 1, "1.00", c) for c in ("A", "B", None) for i, p in enumerate(prices)]
