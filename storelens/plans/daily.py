@@ -5,7 +5,8 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.operators import archive
@@ -46,39 +47,92 @@ def run_report(spark: SparkSession, path_in: str, directory: str, name: str) ->
     return export_single_csv(report, directory, f"{name}_{newest}")
 
 
+_RUN = T.StructType([T.StructField("seen_until", T.TimestampType())])
+
+
+def _runs(spark: SparkSession, root: str) -> list[str]:
+    """Stamps of the finished archive runs, oldest first. A run is finished once its record is there."""
+    if not hadoop.exists(spark, f"{root}/runs"):
+        return []
+    names = [n for n in hadoop.folder_names(spark, f"{root}/runs") if hadoop.data_files(spark, f"{root}/runs/{n}")]
+    return sorted(n.removeprefix("run_at=") for n in names)
+
+
+def current_events(spark: SparkSession, events_path: str, root: str) -> DataFrame:
+    """The events that are not archived: what the last run kept, and what came to ``events_path`` after it."""
+    arrived = spark.read.parquet(events_path) if hadoop.data_files(spark, events_path) else None
+    runs = _runs(spark, root)
+    if not runs:
+        return arrived
+    seen = spark.read.schema(_RUN).json(f"{root}/runs/run_at={runs[-1]}").first()["seen_until"]
+    data = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data/run_at={runs[-1]}")
+    kept = data.where("archived = 'false'").drop("run_at", "archived")
+    if arrived is None:
+        return kept
+    return kept.unionByName(arrived.where(F.col("_metadata.file_modification_time") > F.lit(seen)).select(*kept.columns))
+
+
+def read_archive(spark: SparkSession, root: str) -> DataFrame:
+    """Archived events of all finished runs with the stamp of their run, ``run_at``."""
+    runs = [f"{root}/data/run_at={stamp}" for stamp in _runs(spark, root)]
+    stored = spark.read.option("basePath", f"{root}/data").parquet(*runs)
+    return stored.where("archived = 'true'").drop("archived").withColumn("run_at", F.col("run_at").cast("string"))
+
+
 def run_archive(
-    spark: SparkSession, events_path: str, root: str, now: datetime
+    spark: SparkSession, events_path: str, root: str, now: datetime, registered_days: int = 30, idle_days: int = 14,
 ) -> str | None:
-    """Move the events of inactive users to ``root/archive/run_at=...``, out of ``events_path``, and report them.
+    """Take the events of inactive users out of the current ones, into the archive, and report them.
 
-    One pass writes both sides beside the source. Then the archived side joins the archive, the report of this run is
-    written, and the kept side takes the place of the source. A run that archives nobody changes nothing; a run that
-    broke off before the end can be repeated with the same ``now``.
+    One pass writes both sides to ``root/data/run_at=<stamp>``, as partitions; no folder is moved. Then the report is written,
+    and last the record ``root/runs/run_at=<stamp>``, from which on ``current_events`` and ``read_archive`` see the run.
+    What a run that broke off before left behind is not seen and goes with the next run; files of ``events_path`` and kept
+    rows that a finished run has replaced are deleted at its end or by the next run. A run that archives nobody changes
+    nothing, a finished run is not repeated.
     """
     stamp = now.strftime("%Y%m%dT%H%M%S")
-    staging, target, old = f"{root}/staging/{stamp}", f"{root}/archive/run_at={stamp}", f"{root}/staging/{stamp}-replaced"
-    if not hadoop.exists(spark, events_path) and hadoop.exists(spark, old):
-        hadoop.move(spark, old, events_path)  # broken off between the two moves of the swap
-    events = spark.read.parquet(events_path)
-    tagged = archive.tag_archived(events, archive.inactive_users(events, now))
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("archived").parquet(staging)
-    archived, kept = f"{staging}/archived=true", f"{staging}/archived=false"
-    if not hadoop.exists(spark, archived):
-        hadoop.remove(spark, staging)
+    _drop_replaced(spark, events_path, root)
+    if stamp in _runs(spark, root):
         return None
-    if hadoop.exists(spark, target):
+    events = current_events(spark, events_path, root)
+    stamps = hadoop.file_stamps(spark, events_path, "")
+    seen = spark.range(1).select(F.timestamp_millis(F.lit(max((s[1] for s in stamps), default=0))).alias("seen_until"))
+    target = f"{root}/data/run_at={stamp}"
+    tagged = archive.tag_archived(events, archive.inactive_users(events, now, registered_days, idle_days))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("archived").parquet(target)
+    written = spark.read.schema(tagged.schema).parquet(target)
+    report = write_archive_report(written.where("archived"), f"{root}/reports", now)
+    if report is None:
         hadoop.remove(spark, target)
-    hadoop.move(spark, archived, target)
-    report = write_archive_report(spark.read.parquet(target), f"{root}/reports", now)
-    if not hadoop.exists(spark, kept):
-        events.limit(0).write.parquet(kept)
-    hadoop.move(spark, events_path, old)
-    hadoop.move(spark, kept, events_path)
-    hadoop.remove(spark, old)
-    hadoop.remove(spark, staging)
+        return None
+    _finish_run(seen, f"{root}/runs/run_at={stamp}")
+    _drop_replaced(spark, events_path, root)
     return report
 
 
+def _finish_run(seen: DataFrame, path: str) -> None:
+    seen.coalesce(1).write.mode("overwrite").json(path)
+
+
+def _drop_replaced(spark: SparkSession, events_path: str, root: str) -> None:
+    """Delete unfinished runs, kept rows of earlier runs and the files of ``events_path`` that the last run has read."""
+    if not hadoop.exists(spark, f"{root}/data"):
+        return
+    runs = _runs(spark, root)
+    for name in hadoop.folder_names(spark, f"{root}/data"):
+        stamp, place = name.removeprefix("run_at="), f"{root}/data/{name}"
+        if stamp not in runs:
+            hadoop.remove(spark, place)
+        elif stamp != runs[-1] and hadoop.exists(spark, f"{place}/archived=false"):
+            hadoop.remove(spark, f"{place}/archived=false")
+    if runs:
+        record = spark.read.schema(_RUN).json(f"{root}/runs/run_at={runs[-1]}")
+        until = record.select(F.unix_millis("seen_until")).first()[0]
+        for name, changed, _ in hadoop.file_stamps(spark, events_path, ""):
+            if changed <= until:
+                hadoop.remove(spark, f"{events_path}/{name}")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="storelens")
     jobs = parser.add_subparsers(dest="job", required=True)

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from storelens.operators import (
 from storelens.operators.features import (
     FeatureConfig, customer_features, customer_metrics,
 )
+from storelens.plans import daily
 from storelens.plans.daily import features_schema
 from storelens.plans.views import table, view
 from storelens.session import ensure_checkpoint_dir
-from storelens.sources import files, messages, sinks
-from storelens.sources.specs import CUSTOMERS, PRODUCTS, PURCHASES, STORES, TableSpec
-from storelens.streaming import alerts, folder, jobs, store
+from storelens.sources import files, hadoop, messages, sinks, tables
+from storelens.sources.specs import CUSTOMERS, PRODUCTS, PURCHASES, SPECS, STORES, TableSpec
+from storelens.streaming import alerts, folder, jobs, outbox, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,7 @@ PREVIOUS_DS = "20010731"
 EVENTS_NOW = datetime(2024, 1, 31)
 STATES_FROM = date(2024, 1, 11)
 ALERTS_SPLIT = datetime(2024, 1, 15, 0, 30)
+ARCHIVE_RUNS = (datetime(2024, 1, 31, 3), datetime(2024, 1, 31, 21))
 AUDIT_NOW = datetime(2024, 1, 2, 12)
 RETAIL_CONFIG = FeatureConfig(
     groups={
@@ -155,11 +158,14 @@ def _audit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _recent_audit(spark: SparkSession, sf: str) -> DataFrame:
+def _recent_audit_log(spark: SparkSession, sf: str) -> DataFrame:
     changes = audit.audit_changes(view(spark, sf, "v_users_old"), view(spark, sf, "v_users_new"))
     hours = F.make_interval(hours=(F.col("user_id") % 48).cast("int"))
-    timed = changes.withColumn("changed_at", convert.at(AUDIT_NOW) - hours)
-    return audit.recent_audit(timed, AUDIT_NOW)
+    return changes.withColumn("changed_at", convert.at(AUDIT_NOW) - hours)
+
+
+def _recent_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.recent_audit(_recent_audit_log(spark, sf), AUDIT_NOW)
 
 
 def _inactive(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,10 +186,117 @@ def _archive_report(spark: SparkSession, sf: str) -> DataFrame:
     return archive.archive_report(archived, EVENTS_NOW)
 
 
+def _archive_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two archive runs on one day: every event with the run that archived it, and what both reports say."""
+    root = scratch(spark)
+    events = view(spark, sf, "v_events").join(view(spark, sf, "v_registration"), "user_id", "left")
+    events.write.parquet(f"{root}/events")
+    for now in ARCHIVE_RUNS:
+        daily.run_archive(spark, f"{root}/events", f"{root}/store", now, 10, 3)
+    stored = daily.read_archive(spark, f"{root}/store").select("id", "user_id", "run_at")
+    kept = daily.current_events(spark, f"{root}/events", f"{root}/store")
+    reports = spark.read.schema("archived_documents_count long, archived_users_count long").json(f"{root}/store/reports/*.json")
+    told = reports.agg(F.sum("archived_documents_count").alias("documents"), F.sum("archived_users_count").alias("users"))
+    rows = stored.unionByName(kept.select("id", "user_id", F.lit("kept").alias("run_at")))
+    return rows.join(F.broadcast(told))
+
+
+def _sales_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales rows through a CSV file with headings, blanks and the text NaN, read by name and prepared."""
+    root = scratch(spark)
+    rows = view(spark, sf, "v_sales").select(
+        F.col("transaction_date").cast("string").alias("Transaction Date"), F.col("customer_id").cast("string").alias("Customer ID"),
+        F.col("transaction_id").cast("string").alias("Transaction ID"), F.col("category").alias("Category"),
+        F.coalesce("item", F.lit("NaN")).alias("Item"), F.col("price_per_unit").alias("Price Per Unit"),
+        F.col("quantity").alias("Quantity"), F.col("total_spent").alias("Total Spent"), F.col("payment_method").alias("Payment Method"),
+        F.col("location").alias("Location"), F.lit(None).cast("string").alias("Discount Applied"),
+    )
+    rows.write.option("header", True).csv(f"{root}/sales")
+    return sales.prepare_sales(files.read_sales_csv(spark, f"{root}/sales")).drop("discount_applied")
+
+
+def _json_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores as JSON files that each hold a list, one of them broken: appended to a collection and scanned."""
+    root = scratch(spark)
+    stores = view(spark, sf, "v_raw_stores").where("full_data IS NOT NULL")
+    place = F.pmod(F.xxhash64("full_data"), F.lit(6)).cast("int").alias("place")
+    lists = stores.groupBy(place).agg(F.concat(F.lit("["), F.array_join(F.collect_list("full_data"), ","), F.lit("]")).alias("text"))
+    whole = lists.unionByName(spark.createDataFrame([(6, "[{")], "place int, text string"))
+    whole.repartition("place").write.partitionBy("place").text(f"{root}/parts")
+    for name in hadoop.folder_names(spark, f"{root}/parts"):
+        for part in hadoop.data_files(spark, f"{root}/parts/{name}"):
+            hadoop.move(spark, f"{root}/parts/{name}/{part}", f"{root}/json/{name.removeprefix('place=')}.json")
+    found, _ = files.read_json_documents(spark, f"{root}/json")
+    files.append_documents(found, f"{root}/collection")
+    collection = spark.read.parquet(f"{root}/collection")
+    return files.scan(collection, F.col("delivery_available")).select("_id", "store_id", F.col("manager.email").alias("email"))
+
+
+def _audit_export(spark: SparkSession, sf: str) -> DataFrame:
+    """The fresh audit rows through the CSV file of the export."""
+    target = sinks.export_recent_audit(_recent_audit_log(spark, sf), AUDIT_NOW, f"{scratch(spark)}/audit")
+    kinds = "user_id long, field_changed string, old_value string, new_value string, changed_by string, changed_at timestamp"
+    return spark.read.option("header", True).schema(kinds).csv(target)
+
+
+def _items_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete item records through CSV; a table without rows writes nothing."""
+    root = scratch(spark)
+    items = _complete_items(spark, sf)
+    if sinks.write_csv_if_any(items.limit(0), f"{root}/none"):
+        raise RuntimeError("an empty table wrote a file")
+    sinks.write_csv_if_any(items, f"{root}/items")
+    return spark.read.option("header", True).schema(items.schema).csv(f"{root}/items")
+
+
+def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed table of each collection, rebuilt, filled by one step per collection and listed with its rows."""
+    mark = uuid.uuid4().hex
+    names = {c: f"typed_{c}_{mark}" for c in SPECS}
+    schemas = {name: SPECS[c].schema for c, name in names.items()}
+    tables.create_if_absent(spark, schemas)
+    tables.reset_tables(spark, schemas)
+
+    def fill(collection: str, target: str) -> DataFrame:
+        typed = documents.parse_documents(view(spark, sf, f"v_raw_{collection}"), SPECS[collection])
+        typed.write.insertInto(target)
+        return tables.read_table(spark, target).agg(F.count("*").alias("row_count")).select(F.lit(target).alias("tableName"), "row_count")
+
+    counts = tables.run_collections({c: {"target": name} for c, name in names.items()}, fill)
+    listed = tables.list_tables(spark).where(F.col("tableName").endswith(mark))
+    every = reduce(DataFrame.unionByName, counts.values())
+    return listed.join(every, "tableName").select(F.split("tableName", "_")[1].alias("collection"), "row_count")
+
+
+def _daily_main(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily jobs by their command line: flags of a table to a partition, then the report of the newest one."""
+    root, name = scratch(spark), f"purchases_{uuid.uuid4().hex}"
+    typed = documents.parse_documents(view(spark, sf, "v_raw_purchases"), PURCHASES)
+    dedupe.unique_rows(typed, PURCHASES).write.saveAsTable(name)
+    daily.main(["features", "--table-in", name, "--path-out", f"{root}/flags", "--ds", RUN_DS])
+    daily.main(["report", "--path-in", f"{root}/flags", "--directory", f"{root}/report", "--file-name", "customers"])
+    report = spark.read.option("header", True).csv(f"{root}/report/customers_{RUN_DS}.csv")
+    return report.select("customer_id", F.col("delivery_user").cast("int").alias("delivery_user"), "ds")
+
+
 def _unsent(spark: SparkSession, sf: str) -> DataFrame:
     return relay.read_unsent(view(spark, sf, "v_logins"), view(spark, sf, "v_sent"), 10)
 
 
+def _outbox(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rounds over four fifths of the rows, and a third one after the others, many of them older, have come."""
+    root = scratch(spark)
+    rows = view(spark, sf, "v_logins")
+    early = F.col("id") % 5 != 0
+    channel = {"format": "json", "path": f"{root}/topic"}
+    rows.where(early).repartition(2).write.parquet(f"{root}/source")
+    for _ in range(2):
+        outbox.send_next(spark, f"{root}/source", channel, f"{root}/state", 100)
+    rows.where(~early).write.mode("append").parquet(f"{root}/source")
+    outbox.send_next(spark, f"{root}/source", channel, f"{root}/state", 200)
+    return relay.parse_logins(messages.read_messages(spark, channel), EVENTS_NOW).drop("processed_at")
+
+
 def _relay_messages(spark: SparkSession, sf: str) -> DataFrame:
     fresh = relay.not_sent(view(spark, sf, "v_logins"), view(spark, sf, "v_sent"))
     return relay.login_messages(fresh)
@@ -436,7 +549,6 @@ def queries() -> dict[str, Query]:
         "customer_features_json": _json_features,
         "latest_partition_report": _latest_report,
         "event_rollup_exact": _over("v_events", rollup.exact_rollup),
-        "event_rollup_sketch": _over("v_events", _sketch_rollup),
         "event_sketch_error": _over("v_events", _sketch_error),
         "event_states_stream": _states_stream,
         "states_expired": _states_expired,
@@ -452,7 +564,15 @@ def queries() -> dict[str, Query]:
         "inactive_users": _inactive,
         "archive_split": _archive_split,
         "archive_report": _archive_report,
+        "archive_two_runs": _archive_two_runs,
+        "sales_csv_prepared": _sales_csv,
+        "json_documents": _json_documents,
+        "audit_export_csv": _audit_export,
+        "items_csv": _items_csv,
+        "catalog_tables": _catalog,
+        "daily_jobs": _daily_main,
         "unsent_batch": _unsent,
+        "unsent_after_mark": _outbox,
         "relay_messages": _relay_messages,
         "relay_roundtrip": _relay_roundtrip,
         "relay_stream": _relay_stream,

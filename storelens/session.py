@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # The default form of a timestamp has no statistics, so no file or row group could be skipped by time.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Checkpointed rows go once nothing refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

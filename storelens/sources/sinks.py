@@ -81,24 +81,20 @@ def write_csv_if_any(df: DataFrame, path: str) -> bool:
 
 
 def write_archive_report(archived: DataFrame, directory: str, now: datetime) -> str | None:
-    """``{date}.json`` with the counts and the folder ``{date}_ids``; None when nothing was archived.
+    """``{date}_{time}.json`` with the counts and the folder ``{date}_{time}_ids``; None when nothing was archived.
 
-    The folder holds the archived ids with their documents as JSON lines.
+    The folder holds the archived ids with their documents as JSON lines. Both are named by the time of the run, so
+    every run of a day keeps its own and a repeated run replaces only what it wrote itself.
     """
     spark = archived.sparkSession
-    stem = f"{directory}/{now.strftime('%Y-%m-%d')}"
-    counts, written = archive.archive_counts(archived), f"{stem}__ids__"
-    counts.write.mode("overwrite").json(written)
-    per_user = spark.read.schema(counts.schema).json(written)
-    totals = archive.archive_totals(per_user, now)
-    if totals.isEmpty():
-        hadoop.remove(spark, written)
-        return None
-    if hadoop.exists(spark, f"{stem}_ids"):
+    name = now.strftime("%Y-%m-%d_%H%M%S")
+    stem, counts = f"{directory}/{name}", archive.archive_counts(archived)
+    counts.write.mode("overwrite").json(f"{stem}_ids")
+    per_user = spark.read.schema(counts.schema).json(f"{stem}_ids")
+    report = archive.archive_totals(per_user, now).withColumn("archived_user_ids_folder", F.lit(f"{name}_ids"))
+    if report.isEmpty():
         hadoop.remove(spark, f"{stem}_ids")
-    hadoop.move(spark, written, f"{stem}_ids")
-    report = archive.archive_totals(spark.read.schema(counts.schema).json(f"{stem}_ids"), now).withColumn(
-        "archived_user_ids_folder", F.lit(f"{now.strftime('%Y-%m-%d')}_ids"))
+        return None
     staging, target = f"{stem}__tmp__", f"{stem}.json"
     report.coalesce(1).write.mode("overwrite").json(staging)
     if hadoop.exists(spark, target):

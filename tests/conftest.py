@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .appName("storelens-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -67,24 +67,56 @@ def test_archive_report_file(spark, tmp_path):
         report = json.load(handle)
     assert report == {
         "date": "2025-08-04", "archived_documents_count": 20, "archived_users_count": 10,
-        "archived_user_ids_folder": "2025-08-04_ids"}
+        "archived_user_ids_folder": f"2025-08-04_{NOW:%H%M%S}_ids"}
     ids = spark.read.json(f"{tmp_path}/{report['archived_user_ids_folder']}")
     assert sorted(r["user_id"] for r in ids.collect()) == list(range(123, 133))
 
 
 def test_archive_runs_add_up(spark, tmp_path):
-    source, root = f"{tmp_path}/events", f"{tmp_path}/out"
-    archive_events(spark).write.parquet(source)
-    assert daily.run_archive(spark, source, root, NOW).endswith("/2025-08-04.json")
-    assert spark.read.parquet(source).count() == 4
+    source, root = f"{tmp_path}/events", f"{tmp_path}/store"
+    everything = archive_events(spark)
+    everything.write.parquet(source)
+    first = daily.run_archive(spark, source, root, NOW)
+    assert first.endswith(f"/2025-08-04_{NOW:%H%M%S}.json")
+    left = daily.current_events(spark, source, root)
+    assert left.count() == 4
     assert daily.run_archive(spark, source, root, NOW) is None
     later = NOW + timedelta(days=60)
-    report = daily.run_archive(spark, source, root, later)
-    with open(report, encoding="utf-8") as handle:
-        assert json.load(handle)["archived_documents_count"] == 4
-    assert spark.read.parquet(source).count() == 0
-    kept = spark.read.parquet(f"{root}/archive").groupBy("run_at").count().collect()
-    assert sorted(r["count"] for r in kept) == [4, 20]
+    left.limit(1).withColumn("event_time", F.lit(later)).write.mode("append").parquet(source)
+    assert daily.current_events(spark, source, root).count() == 5
+    same_day = [daily.run_archive(spark, source, root, later + timedelta(hours=n)) for n in (0, 1)]
+    assert same_day[0] and same_day[1] is None
+    with open(same_day[0], encoding="utf-8") as handle:
+        told = json.load(handle)
+    archived = daily.read_archive(spark, root)
+    assert told["archived_documents_count"] == archived.where(F.col("run_at") == f"{later:%Y%m%dT%H%M%S}").count()
+    assert archived.count() + daily.current_events(spark, source, root).count() == 25
+    with open(first, encoding="utf-8") as handle:
+        assert json.load(handle)["archived_documents_count"] == 20
+
+
+@pytest.mark.parametrize("step", ["write_archive_report", "_finish_run", "_drop_replaced"])
+def test_a_broken_archive_run_loses_nothing(spark, tmp_path, monkeypatch, step):
+    source, root = f"{tmp_path}/events", f"{tmp_path}/store"
+    everything = archive_events(spark)
+    everything.write.parquet(source)
+    real, calls = getattr(daily, step), []
+
+    def broken(*args):
+        calls.append(args)
+        if step != "_drop_replaced" or len(calls) == 2:
+            raise OSError("gone")
+        return real(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily, step, broken)
+        with pytest.raises(OSError):
+            daily.run_archive(spark, source, root, NOW)
+    daily.run_archive(spark, source, root, NOW + timedelta(minutes=1))
+    archived = daily.read_archive(spark, root).drop("run_at")
+    both = archived.unionByName(daily.current_events(spark, source, root).select(*archived.columns))
+    assert both.exceptAll(everything.select(*archived.columns)).isEmpty() and both.count() == everything.count()
+    assert archived.count() == 22  # two more users pass the limits in that minute
 
 
 def test_nothing_archived_gives_no_report(spark, tmp_path):

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from storelens.operators import relay, rollup
 from storelens.sources import hadoop, messages
 from storelens.sources.specs import PURCHASES
-from storelens.streaming import alerts, folder, jobs, store
+from storelens.streaming import alerts, folder, jobs, outbox, store
 
 KEYS = store.Layout(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())]), key="k", buckets=16)
 
@@ -303,3 +303,50 @@ def test_alert_waits_for_its_time(spark, tmp_path):
     assert got == wanted
     now = {r["rule"]: r["state"] for r in alerts.current_alerts(found).collect()}
     assert now == {"short": "normal", "long": "normal", "silent": "firing"}
+
+
+def test_outbox_sends_everything_once_and_reads_on_from_its_mark(spark, tmp_path, monkeypatch):
+    source, state = str(tmp_path / "source"), str(tmp_path / "state")
+    channel = {"format": "json", "path": str(tmp_path / "topic")}
+    start = datetime(2024, 1, 1)
+
+    def put(rows):
+        frame = spark.createDataFrame([(i, i, "in", None if m is None else start + timedelta(minutes=m)) for i, m in rows], outbox.ROW)
+        frame.coalesce(1).write.mode("append").parquet(source)
+
+    def sent():
+        return [int(r["key"]) for r in messages.read_messages(spark, channel).collect()] if (tmp_path / "topic").exists() else []
+
+    put([(i, i) for i in range(20)] + [(100, None)])
+    put([(i, 5) for i in range(20, 24)])
+    assert outbox.send_next(spark, source, channel, state, 8) == 8
+    assert sorted(sent()) == [0, 1, 2, 3, 4, 5, 20, 21]
+    put([(50, 1), (51, 5), (52, 30), (101, None)])  # late, at the mark's time, later, and without a time
+    assert outbox.send_next(spark, source, channel, state, 3) == 3
+    assert sorted(set(sent()) - {0, 1, 2, 3, 4, 5, 20, 21}) == [22, 23, 50]
+    # A round that breaks off after delivery is repeated.
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "write_batch", lambda *args: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            outbox.send_next(spark, source, channel, state, 4)
+    while outbox.send_next(spark, source, channel, state, 6):
+        pass
+    assert set(sent()) == {*range(24), 50, 51, 52, 100, 101}
+    assert outbox.mark_time(spark, state) == start + timedelta(minutes=30)
+    again = outbox.behind(spark.read.schema(outbox.ROW).parquet(source), 1704067200000000 + 60_000_000 * 25, 0)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_timestamp" in plan
+    assert [r["id"] for r in again.collect()] == [52]
+
+
+def test_outbox_scan_skips_what_was_sent(spark, tmp_path):
+    source = str(tmp_path / "source")
+    start = datetime(2024, 1, 1)
+    for part in range(10):
+        rows = [(part * 100 + i, 1, "in", start + timedelta(minutes=part * 100 + i)) for i in range(100)]
+        spark.createDataFrame(rows, outbox.ROW).coalesce(1).write.mode("append").parquet(source)
+    ahead = outbox.behind(spark.read.schema(outbox.ROW).parquet(source), 1704067200000000 + 60_000_000 * 900, 0)
+    assert ahead.count() >= 99
+    ahead.collect()
+    scan = ahead._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().get("numOutputRows").get().value() <= 200
