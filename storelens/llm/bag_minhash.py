@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import held, maybe_in, slices, texts_of
+from storelens.llm.common import held, maybe_in, slices, texts_of, unused
 from storelens.llm.components import components
 from storelens.llm.word_shingles import mixed, shingle_sets
 from storelens.session import materialize
@@ -238,10 +238,9 @@ def _left_over(members: DataFrame, roots: DataFrame, items: DataFrame, similar:
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class stays, the one with the smallest id; of rows that repeat id and text, one."""
-    classes = near_duplicates(docs, id_col, text_col)
-    first = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy("root", "class_id").agg(
-        F.min("node").alias("stay_node_"))
-    own = docs.withColumn("own_node_", text_key(F.col(text_col)))
-    met = own.join(
-        first, F.col(id_col).eqNullSafe(F.col("class_id")) & (F.col("own_node_") == F.col("stay_node_")), "left_semi")
-    return met.dropDuplicates([id_col, "own_node_"]).select(*docs.columns)
+    node, stay_id, stay_node = unused(docs, "own_node_", "stay_id_", "stay_node_")
+    classes = near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("class_id")))
+    first = classes.groupBy("root", F.col("class_id").alias(stay_id)).agg(F.min("node").alias(stay_node)).drop("root")
+    own = docs.withColumn(node, text_key(F.col(text_col)))
+    met = own.join(first, F.col(id_col).eqNullSafe(F.col(stay_id)) & (F.col(node) == F.col(stay_node)), "left_semi")
+    return met.dropDuplicates([id_col, node]).select(*docs.columns)

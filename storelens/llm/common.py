@@ -36,6 +36,17 @@ def remainder(column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus))
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores more as make it no column of ``frame``."""
+    taken, found = {c.lower() for c in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def salted(table: DataFrame, salts: int, name: str = "salt_") -> DataFrame:
     """Each row of a small table once for each salt, to meet a side spread by the same salt."""
     return table.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -91,6 +102,9 @@ def texts_of(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("")
 
 
+ARROW_ROWS = 1000
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the installed package of public tokenizers keeps a file; it is there on every machine."""
     import public_tokenizers
@@ -101,6 +115,8 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def ship(spark: SparkSession) -> None:
     """Hands the package to the Python workers once a session, for clusters on which it is not installed."""
     context = spark.sparkContext
+    # Texts are long: what a worker and the buffers beside it hold follows the rows of a batch.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     if not getattr(context, "_storelens_shipped", False):
         root = Path(__file__).resolve().parent.parent
         name = f"{tempfile.mkdtemp()}/storelens"

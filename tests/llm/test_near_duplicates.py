@@ -6,6 +6,8 @@ from itertools import combinations
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from storelens.llm import bag_minhash
 from storelens.llm.components import components
 
@@ -67,6 +69,14 @@ def test_classes(make_docs, odd_rows):
     assert bag_minhash.near_duplicates(docs.limit(0)).isEmpty()
 
 
+def test_columns_of_documents_may_have_any_name(spark, make_docs):
+    names = ["class_id", "class_size", "root", "node", "stay_node_", "stay_id_", "own_node_", "Stay_Id__", "band", "key", "least_"]
+    docs = make_docs([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")]).withColumns({name: F.lit(name) for name in names})
+    left = bag_minhash.drop_near(docs)
+    assert left.schema == docs.schema
+    assert sorted((r["doc_id"], r["class_id"], r["root"]) for r in left.collect()) == [(1, "class_id", "root"), (3, "class_id", "root")]
+
+
 def test_signatures_estimate_weighted_jaccard():
     draw = np.random.default_rng(1)
     value = draw.integers(1, 2**63, 60).astype(np.uint64)
