@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import held, maybe_in, slices, texts_of, unused
+from storelens.llm.common import held, maybe_in, release, slices, texts_of, unused
 from storelens.llm.components import components
 from storelens.llm.word_shingles import mixed, shingle_sets
 from storelens.session import materialize
@@ -184,6 +184,7 @@ def near_duplicates(
     entries = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sized = entries.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(entries.join(sized, ["band", "key"]))
+    release(docs.sparkSession)
 
     # The text whose buckets hold the most others is the one the others most likely come from.
     load = members.groupBy("node").agg(F.sum("n").alias("load"))
@@ -197,7 +198,9 @@ def near_duplicates(
 
     items = materialize(_items(read, members))
     links = materialize(_verified(pairs, items, similar))
+    release(docs.sparkSession)
     roots = components(links)
+    release(docs.sparkSession)
     rest = _left_over(members.where(F.col("n") > SMALL), roots, items, similar)
     if not rest.isEmpty():
         roots = components(links.unionByName(rest))

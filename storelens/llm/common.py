@@ -112,6 +112,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files of steps that are done: it does so for what neither Python nor the driver refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Hands the package to the Python workers once a session, for clusters on which it is not installed."""
     context = spark.sparkContext
