@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import bag_minhash, exact_dedup, packing, quality, source_mixing
-from storelens.llm.common import ship, tokenizer_path
+from storelens.llm.common import release, ship, tokenizer_path
 from storelens.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,24 +22,28 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group with the same text stays, the one with the largest id."""
+    release(spark)
     return exact_dedup.drop_exact(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates stays, the one with the smallest id."""
     ship(spark)
+    release(spark)
     return bag_minhash.drop_near(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     ship(spark)
+    release(spark)
     return source_mixing.resample(docs)
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as pieces with their place in sequences of 2048 tokens."""
     ship(spark)
+    release(spark)
     return packing.packed(docs, tokenizer_path(), kept=300_000, slice_bytes=2_000_000)
 
 
