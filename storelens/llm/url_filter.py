@@ -9,16 +9,19 @@ from storelens.llm.common import remainder
 from storelens.llm.line_dedup import host_of
 from storelens.session import materialize
 
-# Characters are read as one of 32 symbols: a-z in either case, any digit, ``.``, ``-``, ``/``, ``_`` and all others.
-# A gram is a context of ORDER symbols with the next one, as a number, so no table of grams has over 2**20 rows.
-SYMBOLS = 32
-ORDER = 3
+# A gram is a character with up to ORDER characters before it, as text, so no two grams share a number.
+ORDER = 5
+# These stand before the first and behind the last character of a text.
+BEGIN, END = "\x02", "\x03"
 # Contexts that a class has seen less often fall back to the next shorter one.
 LEAST_SEEN = 2
 # One in so many URLs with a rule is left out of the models and sets the threshold.
 HELD_OUT = 5
 # The threshold is one of so many steps a unit of log-likelihood per character.
 STEPS = 100
+# Grams that make up more than one in so many of all are fewer than this, so they are broadcast; the others meet by
+# shuffle, and none of them is frequent enough to fill a task.
+HEAVY = 2000
 
 Rule = tuple[str, str, str]
 
@@ -45,97 +48,105 @@ def matched_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return chain([h + p for h, p, _ in ordered]), chain([v for _, _, v in ordered])
 
 
-def grams(text: Column) -> tuple[Column, Column]:
-    """Symbols of a text with ORDER marks before and one behind it, and its grams, worked out from the column ``codes_``."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]", "0"), "[^a-z0./_-]", "~")
-    # The lowest five bits of these characters are numbers of their own: a-z 1 to 26, the others 0 and 27 to 31.
-    marked = F.translate(F.concat(F.lit("~" * ORDER), plain, F.lit("~")), "0.-/_~", "`{|}~\x7f")
-    codes = F.transform(F.sequence(F.lit(1), F.length(marked)), lambda i: F.ascii(F.substring(marked, i, 1)) % SYMBOLS)
-
-    def joined(i: Column) -> Column:
-        value = F.lit(0)
-        for step in range(ORDER + 1):
-            value = value * SYMBOLS + F.get("codes_", i + step)
-        return value
-
-    return codes, F.transform(F.sequence(F.lit(0), F.size("codes_") - (ORDER + 1)), joined)
+def text_of(url: Column) -> Column:
+    """What the models read: all that stands behind the first ``://``, query and fragment too; empty without it."""
+    return F.coalesce(F.regexp_extract(url, "(?s)^.*?://(.*)$", 1), F.lit(""))
 
 
 def _exploded(frame: DataFrame, text: Column) -> DataFrame:
-    codes, numbers = grams(text)
-    return frame.withColumn("codes_", codes).withColumn("gram_", F.explode(numbers)).drop("codes_")
+    """Each row once for each character of its text and for its end, with the gram of ORDER + 1 characters up to there."""
+    signs = F.concat(F.array_repeat(F.lit(BEGIN), ORDER), F.filter(F.split(text, ""), lambda c: c != ""), F.array(F.lit(END)))
+    spelled = frame.withColumn("signs_", signs)
+    places = F.sequence(F.lit(1), F.size("signs_") - ORDER)
+    found = F.transform(places, lambda i: F.array_join(F.slice("signs_", i, ORDER + 1), ""))
+    return spelled.withColumn("gram_", F.explode(found)).drop("signs_")
+
 
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """For every gram_ of ``counts`` the probabilities pa_ and pr_ of its last character and ratio_, log(pa_ / pr_).
 
-def log_ratios(counts: DataFrame) -> list[DataFrame]:
-    """For each order the log ratio of both models for every gram whose context either class has seen.
+    ``counts`` has a row for each gram, with a_ and r_: how often accepted and rejected URLs of the training hold it,
+    both 0 for one that only other URLs hold. Witten-Bell smoothing: a class that has seen context c N times with T
+    different characters gives (n + T * p') / (N + T), p' from the context that is one character shorter; the shortest
+    falls back to 1 / (V + 1) with V characters in the training. A class without training leaves all ratios at 0.
 
-    ``counts`` has gram_, a_ and r_: how often accepted and rejected URLs hold a gram. Witten-Bell smoothing: a class
-    that has seen context c N times with T different symbols gives (n + T * p') / (N + T), p' from the context that is
-    one symbol shorter; the shortest falls back to 1 / 32.
+    After the first step there is one row for each gram, so a context or a suffix has no more rows than there are
+    different characters.
     """
-    symbol = F.explode(F.sequence(F.lit(0), F.lit(SYMBOLS - 1))).alias("next_")
-    tables: list[DataFrame] = []
+    shorter = None
     for order in range(ORDER + 1):
-        size = SYMBOLS ** (order + 1)
-        seen = counts.groupBy((F.col("gram_") % size).alias("g_")).agg(F.sum("a_").alias("a_"), F.sum("r_").alias("r_"))
-        contexts = seen.groupBy(F.expr(f"g_ div {SYMBOLS}").alias("c_")).agg(*[
-            e for s in "ar" for e in (
-                F.sum(f"{s}_").alias(f"{s}n_"), F.sum((F.col(f"{s}_") > 0).cast("int")).alias(f"{s}t_"))
-        ])
-        cells = contexts.select("*", symbol).withColumn("g_", F.col("c_") * SYMBOLS + F.col("next_"))
-        cells = cells.join(seen, "g_", "left").fillna(0, ["a_", "r_"])
-        if order:
-            shorter = tables[-1].select(F.col("g_").alias("s_"), F.col("pa_").alias("qa_"), F.col("pr_").alias("qr_"))
-            cells = cells.join(F.broadcast(shorter), F.col("g_") % (size // SYMBOLS) == F.col("s_"))
+        context = Window.partitionBy(F.expr(f"left(g_, {order})"))
+        cells = counts.groupBy(F.expr(f"right(gram_, {order + 1})").alias("g_")).agg(
+            F.sum("a_").alias("a_"), F.sum("r_").alias("r_"))
+        cells = cells.withColumns({
+            **{f"{s}n_": F.sum(f"{s}_").over(context) for s in "ar"},
+            **{f"{s}t_": F.sum((F.col(f"{s}_") > 0).cast("int")).over(context) for s in "ar"},
+        })
+        if shorter is None:
+            known = F.sum((F.col("a_") + F.col("r_") > 0).cast("int")).over(context)
+            cells = cells.withColumns({
+                "qa_": 1 / (known + 1), "qr_": 1 / (known + 1), "both_": (F.col("an_") > 0) & (F.col("rn_") > 0),
+            })
         else:
-            cells = cells.withColumns({"qa_": F.lit(1 / SYMBOLS), "qr_": F.lit(1 / SYMBOLS)})
-        smooth = {
-            f"p{s}_": F.when(
+            cells = cells.join(shorter, F.expr(f"right(g_, {order})") == F.col("s_")).drop("s_")
+        p = {
+            s: F.when(
                 F.col(f"{s}n_") >= LEAST_SEEN,
                 (F.col(f"{s}_") + F.col(f"{s}t_") * F.col(f"q{s}_")) / (F.col(f"{s}n_") + F.col(f"{s}t_")),
             ).otherwise(F.col(f"q{s}_"))
             for s in "ar"
         }
-        tables.append(materialize(
-            cells.withColumns(smooth).withColumn("ratio_", F.log("pa_") - F.log("pr_")).select("g_", "pa_", "pr_", "ratio_")
-        ))
-    return tables
+        shorter = cells.select(F.col("g_").alias("s_"), p["a"].alias("qa_"), p["r"].alias("qr_"), "both_")
+    ratio = F.when(F.col("both_"), F.log("qa_") - F.log("qr_")).otherwise(0.0)
+    return shorter.select(F.col("s_").alias("gram_"), F.col("qa_").alias("pa_"), F.col("qr_").alias("pr_"), ratio.alias("ratio_"))
+
+
+def _mean_ratios(cells: DataFrame, ratios: DataFrame) -> DataFrame:
+    """raw_, the mean ratio of the grams of each key_; ``ratios`` says for each gram whether it is heavy_."""
+    heavy = F.broadcast(ratios.where("heavy_").select("gram_", "ratio_"))  # fewer than HEAVY rows
+    sums = [F.sum("ratio_").alias("sum_"), F.count("*").alias("n_")]
+    often = cells.join(heavy, "gram_").groupBy("key_").agg(*sums)
+    rest = cells.join(heavy.select("gram_"), "gram_", "left_anti")
+    seldom = rest.join(ratios.where("not heavy_").select("gram_", "ratio_"), "gram_").groupBy("key_").agg(*sums)
+    both = often.unionByName(seldom).groupBy("key_").agg(F.sum("sum_").alias("sum_"), F.sum("n_").alias("n_"))
+    return both.select("key_", F.round(F.col("sum_") / F.col("n_"), 9).alias("raw_"))
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of ``pages``: id, host, path, rule, verdict, and score, the calibrated log ratio per character.
 
     The longest rule that fits decides. All other URLs are scored by two character models, one of the URLs the rules
-    accept and one of those they reject (host and path, without scheme, query and fragment); at or above the threshold
-    is allowed. A held-out part of the URLs with a rule sets the threshold where the two error rates have the least
-    sum. With no URL of a class the models tell nothing and the verdict is allow. NULL and texts without ``://`` have
-    empty host and path. Repeated rows are judged alike. Other columns are ignored. No rows in, no rows out.
-
-    Models have at most 2**20 grams, so they are broadcast; URLs are shuffled once, by id.
+    accept and one of those they reject (whole, but for the scheme); at or above the threshold is allowed. A held-out
+    part of the URLs with a rule sets the threshold where the two error rates have the least sum. With no URL of a
+    class the models tell nothing and the verdict is allow. NULL and texts without ``://`` have empty host and path.
+    Repeated rows are judged alike and learned from as often as they are there. Other columns are ignored. No rows in,
+    no rows out.
+
+    A URL becomes one row per character. Grams are counted with partial sums; their ratios come back to the URLs by
+    shuffle, but for the frequent ones, which are bounded in number and broadcast.
     """
     read = pages.groupBy(F.col(id_col).alias("id_"), F.col(url_col).alias("url_")).agg(F.count("*").alias("copies_"))
-    read = read.withColumns({"host_": host_of(F.col("url_")), "path_": path_of(F.col("url_"))})
-    rule, verdict = matched_rule(F.col("host_"), F.col("path_"), rules)
     read = read.withColumns({
-        "rule_": rule, "by_rule_": verdict, "learn_": verdict.isNotNull() & (remainder(F.col("id_"), HELD_OUT) != 0),
+        "host_": host_of(F.col("url_")), "path_": path_of(F.col("url_")),
+        "key_": F.md5(F.to_json(F.struct("id_", "url_"), {"ignoreNullFields": "false"}).cast("binary")),
     })
-    text = F.concat("host_", "path_")
-    seen = _exploded(read.where("learn_").select("by_rule_", "copies_", text.alias("text_")), F.col("text_"))
-    counts = materialize(seen.groupBy("gram_").agg(
-        F.sum(F.when(F.col("by_rule_") == "allow", F.col("copies_")).otherwise(0)).alias("a_"),
-        F.sum(F.when(F.col("by_rule_") != "allow", F.col("copies_")).otherwise(0)).alias("r_"),
-    ))
-    tables = log_ratios(counts)
-    cells = _exploded(read.withColumn("text_", text), F.col("text_")).drop("text_")
-    for order, table in enumerate(tables):
-        # 32 ** (order + 1) rows at most
-        side = table.select(F.col("g_").alias(f"g{order}_"), F.col("ratio_").alias(f"ratio{order}_"))
-        cells = cells.join(F.broadcast(side), F.col("gram_") % (SYMBOLS ** (order + 1)) == F.col(f"g{order}_"), "left")
-    ratio = F.coalesce(*[F.col(f"ratio{o}_") for o in range(ORDER, -1, -1)], F.lit(0.0))
-    keys = ["id_", "url_", "copies_", "host_", "path_", "rule_", "by_rule_", "learn_"]
-    scored = materialize(cells.groupBy("id_", "url_").agg(
-        *[F.first(k).alias(k) for k in keys[2:]], F.round(F.avg(ratio), 9).alias("raw_")
+    rule, verdict = matched_rule(F.col("host_"), F.col("path_"), rules)
+    read = materialize(read.withColumns({
+        "rule_": rule, "by_rule_": verdict, "learn_": verdict.isNotNull() & (remainder(F.col("id_"), HELD_OUT) != 0),
+    }))
+    cells = _exploded(read.select("key_", "url_", "copies_", "by_rule_", "learn_"), text_of(F.col("url_")))
+    learned = F.when(F.col("learn_"), F.col("copies_")).otherwise(0)
+    counts = materialize(cells.groupBy("gram_").agg(
+        F.sum(F.when(F.col("by_rule_") == "allow", learned).otherwise(0)).alias("a_"),
+        F.sum(F.when(F.col("by_rule_") == "block", learned).otherwise(0)).alias("r_"),
+        F.count("*").alias("n_"),
     ))
+    total = counts.agg(F.sum("n_").alias("all_")).select(F.lit(1).alias("one_"), "all_")
+    heavy = counts.withColumn("one_", F.lit(1)).join(F.broadcast(total), "one_").select(
+        "gram_", (F.col("n_") * HEAVY > F.col("all_")).alias("heavy_"))
+    ratios = materialize(log_ratios(counts).join(heavy, "gram_").select("gram_", "ratio_", "heavy_"))
+    raw = _mean_ratios(cells.select("key_", "gram_"), ratios)
+    scored = materialize(read.join(raw, "key_"))
     threshold = materialize(_threshold(scored.where("by_rule_ is not null and not learn_")))
     score = F.col("raw_") - F.col("threshold_")
     judged = scored.withColumn("one_", F.lit(1)).join(F.broadcast(threshold), "one_").withColumn("score", score)

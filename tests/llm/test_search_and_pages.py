@@ -1,6 +1,9 @@
 """Top-k search, site lines and URL rules on small tables."""
 
 import math
+import random
+import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -84,8 +87,83 @@ def test_url_rules_and_models(spark):
     assert url_filter.judge_urls(pages.limit(0), queries.URL_RULES).isEmpty()
 
 
+def model_of(texts):
+    """Counts of each context and its next character for every order."""
+    seen = [{} for _ in range(url_filter.ORDER + 1)]
+    for text in texts:
+        signs = [url_filter.BEGIN] * url_filter.ORDER + list(text) + [url_filter.END]
+        for at in range(url_filter.ORDER, len(signs)):
+            for order, contexts in enumerate(seen):
+                nexts = contexts.setdefault(tuple(signs[at - order:at]), {})
+                nexts[signs[at]] = nexts.get(signs[at], 0) + 1
+    return seen
+
+
+def log_likelihood(seen, characters, text):
+    signs = [url_filter.BEGIN] * url_filter.ORDER + list(text) + [url_filter.END]
+    total = 0.0
+    for at in range(url_filter.ORDER, len(signs)):
+        p = 1 / (characters + 1)
+        for order, contexts in enumerate(seen):
+            nexts = contexts.get(tuple(signs[at - order:at]), {})
+            n = sum(nexts.values())
+            if n >= url_filter.LEAST_SEEN:
+                p = (nexts.get(signs[at], 0) + len(nexts) * p) / (n + len(nexts))
+        total += math.log(p)
+    return total
+
+
+def scores_of(rows, rule_list):
+    """Score of each distinct (id, url), by plain loops over whole texts."""
+    copies = Counter(rows)
+    text = {r: r[1].split("://", 1)[1] if r[1] and "://" in r[1] else "" for r in copies}
+    verdict = {r: judged(rule_list, r[1])[3] for r in copies}
+    mark = {r: zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % url_filter.HELD_OUT for r in copies}
+    learned = {v: [text[r] for r, n in copies.items() if verdict[r] == v and mark[r] for _ in range(n)] for v in ("allow", "block")}
+    characters = len({c for t in learned["allow"] + learned["block"] for c in [*t, url_filter.END]})
+    models = {v: model_of(t) for v, t in learned.items()}
+    raw = dict.fromkeys(copies, 0.0)
+    if all(learned.values()):
+        for r in copies:
+            good, bad = (log_likelihood(models[v], characters, text[r]) for v in ("allow", "block"))
+            raw[r] = round((good - bad) / (len(text[r]) + 1), 9)
+    held = [(math.floor(raw[r] * url_filter.STEPS), verdict[r] == "allow") for r in copies if verdict[r] and not mark[r]]
+    good, bad = [s for s, g in held if g], [s for s, g in held if not g]
+    threshold = 0.0
+    if good and bad:
+        def error(step):
+            return sum(s < step for s in good) / len(good) + sum(s >= step for s in bad) / len(bad)
+        threshold = min((round(error(s), 12), abs(s), s) for s in {s for s, _ in held})[2] / url_filter.STEPS
+    return {r: raw[r] - threshold for r in copies}
+
+
+def test_url_scores_and_threshold_against_plain_loops(spark):
+    draw = random.Random(5)
+    rows = [(n, f"https://{draw.choice(['a', 'shop', 'ü'])}{n % 5}.com/{draw.choice(['news', 'Blog', 'x'])}/{n}?page={n % 3}") for n in range(60)]
+    rows += [(n, f"http://b{n % 4}.net/{draw.choice(['es', 'fr'])}/{draw.choice(['win', 'news'])}-{n}#{n % 7}") for n in range(60, 120)]
+    rows += [(n, f"http://c.org/{draw.choice(['news', 'win', '新聞'])}/{n}?page={n % 3}") for n in range(120, 150)]
+    rows += [(3, rows[3][1])] * 40 + [(None, None), (None, "http://q.org/?a=1"), (151, ""), (152, "x://y.com/" + "long/" * 4000)]
+    rows += [(153, "http://c.org/same?page=1"), (154, "http://c.org/same?win-4#4")]  # nothing but the query differs
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({n: F.lit(0) for n in ("gram_", "key_", "score")})
+    wanted = scores_of(rows, queries.URL_RULES)
+    expected = Counter((i, round(wanted[i, u], 6)) for i, u in rows)
+    found = url_filter.judge_urls(pages, queries.URL_RULES).collect()
+    assert Counter((r["page_id"], round(r["score"], 6)) for r in found) == expected
+    assert all(r["verdict"] == ("allow" if r["score"] >= 0 else "block") for r in found if not r["rule"])
+    assert len({r["score"] for r in found if r["page_id"] in (153, 154)}) == 2
+
+
+def test_urls_of_one_class_are_allowed(spark):
+    rows = [(n, f"http://a.com/{n}") for n in range(20)] + [(30, "http://b.org/zzz")]
+    found = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), queries.URL_RULES).collect()
+    assert len(found) == 21 and {r["verdict"] for r in found} == {"allow"} and {r["score"] for r in found} == {0.0}
+
+
 def test_models_give_probabilities(spark):
-    counts = spark.createDataFrame([(1000, 5, 0), (1001, 2, 3), (31 * 32 + 5, 0, 9)], "gram_ long, a_ long, r_ long")
-    for order, table in enumerate(url_filter.log_ratios(counts)):
-        sums = table.groupBy(F.expr("g_ div 32")).agg(F.sum("pa_").alias("a"), F.sum("pr_").alias("r")).collect()
-        assert sums and all(abs(s["a"] - 1) < 1e-9 and abs(s["r"] - 1) < 1e-9 for s in sums), order
+    order = url_filter.ORDER
+    contexts = ["\x02" * order, "x" * order, "abcdefgh"[:order]]
+    rows = [(c + s, n * (k + 1), n * k) for k, c in enumerate(contexts) for n, s in enumerate("abcx\x03")]
+    table = url_filter.log_ratios(spark.createDataFrame(rows, "gram_ string, a_ long, r_ long")).collect()
+    assert len(table) == len(rows) and all(0 < r["pa_"] < 1 and 0 < r["pr_"] < 1 for r in table)
+    for c in contexts:
+        assert sum(r["pa_"] for r in table if r["gram_"].startswith(c)) <= 1
