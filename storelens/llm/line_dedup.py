@@ -50,8 +50,8 @@ def drop_site_lines(
     form one site, as the empty host does; a page without lines counts as a page and gives empty text. Repeated rows
     are pages of their own. Other columns of ``pages`` are ignored. No rows in, no rows out.
 
-    Lines are counted as (host, hash) with partial sums, so a host with a third of all pages is spread over tasks. At
-    most (mean lines per page) / ``ratio`` lines of a host can be boilerplate, so they fit one short array per host,
+    Lines are counted as (host, hash) with partial sums and held against the ratio by host and salt, so a host with a
+    third of all pages is spread over tasks. At most (mean lines per page) / ``ratio`` lines of a host can be boilerplate, so they fit one short array per host,
     and pages meet it by host and salt.
     """
     read = pages.select(F.col(id_col), F.coalesce(host, F.lit("")).alias("host_"), lines.alias("lines_"))
@@ -60,9 +60,10 @@ def drop_site_lines(
     ).alias("line_"))
     counts = hashed.groupBy("host_", "line_").agg(F.count("*").alias("on_")).where(F.col("on_") >= least_pages)
     totals = read.groupBy("host_").agg(F.count("*").alias("pages_"))
-    often = totals.join(counts, "host_", "left").groupBy("host_", "pages_").agg(
-        F.collect_list(F.when(F.col("on_") > ratio * F.col("pages_"), F.col("line_"))).alias("often_")
-    )
+    dealt = counts.withColumn("salt_", F.pmod("line_", F.lit(salts)).cast("int"))
+    over = dealt.join(salted(totals, salts), ["host_", "salt_"]).where(F.col("on_") > ratio * F.col("pages_"))
+    often = totals.join(over.groupBy("host_").agg(F.collect_list("line_").alias("often_")), "host_", "left")
+    often = often.withColumn("often_", F.coalesce("often_", F.array().cast("array<bigint>")))
     spread = read.withColumn("salt_", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
     met = spread.join(salted(often, salts), ["host_", "salt_"])
     kept = F.filter("lines_", lambda x: ~F.array_contains("often_", F.xxhash64(x)))

@@ -142,25 +142,25 @@ def oracle_sql() -> dict[str, str]:
 
 SITE_LINES = rf"""
 WITH read AS (
-  SELECT page_id,
+  SELECT row_number() OVER () AS page, page_id,
          coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                             'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'),
                         '<style[^>]*>.*?</style>', ' ', 'gsi'), '<!--.*?-->', ' ', 'gs') AS bare
   FROM pages),
 cut AS (
-  SELECT page_id, host,
+  SELECT page, page_id, host,
          regexp_replace(regexp_replace(regexp_replace(bare, '[\t\r ]+', ' ', 'g'),
                         '</?(?:{line_dedup.BLOCKS})(?:[ /][^>]*)?>', chr(10), 'gi'), '<[^>]*>', '', 'g') AS plain
   FROM read),
 lines AS (
-  SELECT page_id, host,
+  SELECT page, page_id, host,
          list_filter(list_transform(string_split(coalesce(plain, ''), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines
   FROM cut),
 per_host AS (SELECT host, count(*) AS host_pages FROM lines GROUP BY host),
 counted AS (
-  SELECT host, line, count(DISTINCT page_id) AS pages
-  FROM (SELECT host, page_id, unnest(lines) AS line FROM lines) GROUP BY host, line),
+  SELECT host, line, count(DISTINCT page) AS pages
+  FROM (SELECT host, page, unnest(lines) AS line FROM lines) GROUP BY host, line),
 often AS (
   SELECT host, list(line) AS often FROM counted JOIN per_host USING (host)
   WHERE pages >= {line_dedup.LEAST_PAGES} AND pages > {line_dedup.RATIO} * host_pages GROUP BY host),
@@ -175,15 +175,15 @@ FROM kept
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+  SELECT a.vec_id AS query_id, a.q AS asked, b.vec_id AS vec_id,
          list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
 SELECT query_id, rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 WHERE rank <= 5
 """
 

@@ -16,7 +16,7 @@ TILE_ROWS = 2048
 FAN_IN = 32
 
 Tile = Callable[[tuple, pa.Table, pa.Table], pa.Table]
-_OUT = pa.schema([("query_id", pa.int64()), ("shard", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_OUT = pa.schema([("query_id", pa.int64()), ("ask_", pa.int64()), ("shard", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def quantised(vector: Column) -> Column:
@@ -26,13 +26,13 @@ def quantised(vector: Column) -> Column:
     return F.when(finite, whole)
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of a block by ascending id, rows that repeat both once."""
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, marks and vectors of a block by ascending id, rows that repeat all once."""
     ids = table.column("vec_id").to_numpy()
     flat = table.column("vector_").combine_chunks().flatten().to_numpy()
-    both = np.column_stack([ids, flat.reshape(len(ids), -1)])
+    both = np.column_stack([ids, table.column("ask_").to_numpy(), flat.reshape(len(ids), -1)])
     both = np.unique(both, axis=0)
-    return both[:, 0], both[:, 1:]
+    return both[:, 0], both[:, 1], both[:, 2:]
 
 
 def _products(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
@@ -60,8 +60,8 @@ def _tile(k: int) -> Tile:
     def search(key: tuple, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         if not queries.num_rows or not vectors.num_rows:
             return _OUT.empty_table()
-        query_ids, left = _matrix(queries)
-        ids, right = _matrix(vectors)
+        query_ids, asks, left = _matrix(queries)
+        ids, _, right = _matrix(vectors)
         scores = _products(left, right)
         own = query_ids[:, None] == ids[None, :]
         scores[own] = np.iinfo(np.int64).min // (4 * len(ids))
@@ -71,7 +71,7 @@ def _tile(k: int) -> Tile:
         rest = ~own[rows, columns]
         rows, columns = rows[rest], columns[rest]
         shard = np.full(len(rows), key[2].as_py(), np.int32)
-        return pa.table([query_ids[rows], shard, ids[columns], scores[rows, columns]], schema=_OUT)
+        return pa.table([query_ids[rows], asks[rows], shard, ids[columns], scores[rows, columns]], schema=_OUT)
 
     return search
 
@@ -85,33 +85,34 @@ def top_k(
     The score is the integer inner product of the quantised vectors. Ties go to the smaller id; a row with the query's
     own id is no candidate. Fewer candidates give fewer rows. Rows take no part when id or vector is NULL or when a
     component is NULL or not finite; vectors are only compared with queries of their own length. Rows that repeat id
-    and vector count once. Other columns are ignored. No rows in, no rows out.
+    and vector count once; rows of one id with several vectors are queries of their own, with the same query_id, and
+    candidates of their own, so an id may stand twice in a list. Other columns are ignored. No rows in, no rows out.
 
     Queries and vectors are dealt by hash to blocks of about ``tile_rows`` rows; each vector goes to one tile per
     query block and each query to one tile per shard, so a task only ever holds two blocks.
     """
     def clean(frame: DataFrame) -> DataFrame:
         rows = frame.select(F.col(id_col).alias("vec_id"), quantised(F.col(vector_col)).alias("vector_"))
-        return rows.where("vec_id is not null and vector_ is not null").withColumn("size_", F.size("vector_"))
+        return rows.where("vec_id is not null and vector_ is not null").withColumn("size_", F.size("vector_")).withColumn(
+            "ask_", F.xxhash64("vec_id", "vector_"))
 
     rows, asked = clean(vectors), clean(queries)
     blocks = max(1, ceil(asked.count() / tile_rows))
     shards = max(1, ceil(rows.count() / tile_rows))
-    place = F.xxhash64("vec_id")
-    left = asked.withColumn("block_", F.pmod(place, F.lit(blocks)).cast("int")).withColumn(
+    left = asked.withColumn("block_", F.pmod("ask_", F.lit(blocks)).cast("int")).withColumn(
         "shard_", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     )
-    right = rows.withColumn("shard_", F.pmod(place, F.lit(shards)).cast("int")).withColumn(
+    right = rows.withColumn("shard_", F.pmod("ask_", F.lit(shards)).cast("int")).withColumn(
         "block_", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
     keys = ["size_", "block_", "shard_"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        _tile(k), "query_id long, shard int, vec_id long, score long"
+        _tile(k), "query_id long, ask_ long, shard int, vec_id long, score long"
     )
     while shards > 1:
         shards = ceil(shards / FAN_IN)
-        found = _merged(found.withColumn("shard", F.expr(f"shard div {FAN_IN}").cast("int")), k, "query_id", "shard")
-    return _merged(found, k, "query_id").select("query_id", "rank", "vec_id", "score")
+        found = _merged(found.withColumn("shard", F.expr(f"shard div {FAN_IN}").cast("int")), k, "query_id", "ask_", "shard")
+    return _merged(found, k, "query_id", "ask_").select("query_id", "rank", "vec_id", "score")
 
 
 def _merged(found: DataFrame, k: int, *keys: str) -> DataFrame:

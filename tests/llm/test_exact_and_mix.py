@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from storelens.llm import exact_dedup, source_mixing
 
 
-def test_exact_groups(make_docs, odd_rows):
+@pytest.mark.parametrize("heavy", [1, 6, 2000])
+def test_exact_groups(make_docs, odd_rows, monkeypatch, heavy):
+    """No group, some groups and all groups are frequent ones; lengths and prefixes that agree without equal texts."""
+    monkeypatch.setattr(exact_dedup, "HEAVY", heavy)
+    odd_rows = [*odd_rows, *[(100 + n, "same text") for n in range(40)], (150, "lone of its length"),
+                (151, "p" * 64 + "a"), (152, "p" * 64 + "b"), (153, "q" * 65)]
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     found = exact_dedup.exact_groups(make_docs(odd_rows), carry={"sha": digest}).collect()
     groups = defaultdict(list)

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from storelens.llm import line_dedup, queries, topk_search, url_filter
@@ -26,6 +27,7 @@ def test_top_k_with_ties_and_unusable_rows(spark):
     rows = [(n, [math.sin(n * d) for d in range(1, 9)]) for n in range(200)]
     rows += [(500 + n, rows[7][1]) for n in range(60)]  # one vector many times
     rows += [(900, None), (901, [1.0, None] * 4), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (None, rows[3][1])]
+    rows += [(50, rows[60][1]), (50, rows[70][1]), (60, rows[61][1])]  # one id, several vectors
     rows += [(7, rows[7][1]), (904, [1.0, 2.0]), (905, [3.0, 4.0]), (906, [])]
     frame = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, rank int, score int")
     asked = {0, 7, 50, 100, 500, 900, 904}
@@ -58,6 +60,25 @@ def test_site_lines(spark):
     assert empty.isEmpty()
 
 
+def test_site_lines_of_repeated_rows_and_at_the_ratio(spark):
+    def page(n, *lines):
+        return n, "http://one.example/", "".join(f"<p>{x}</p>" for x in lines)
+
+    rows = [page(n, f"own {n}", *(["at"] * (n < 3) + ["over"] * (n < 4))) for n in range(8)]
+    rows += [page(0, "own 0", "at", "over")] * 2  # ten pages in all: "own 0" and "at" on three and five of them
+    rows += [page(n, "end", "three") if n < 53 else page(n, "x" * n) for n in range(50, 60)]
+    rows[10:] = [(i, "http://two.example/", h) for i, _, h in rows[10:]]  # ten pages, "three" on exactly 0.3 of them
+    rows += [(70, "http://long.example/", "".join(f"<p>line {n}</p>" for n in range(30_000)))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = line_dedup.drop_site_lines(pages, line_dedup.host_of(F.col("url")), line_dedup.html_lines(F.col("html"))).collect()
+    got = {r["page_id"]: (r["host_pages"], r["n_lines"], r["n_dropped"]) for r in found}
+    assert got[0] == (10, 3, 2) and got[4] == (10, 1, 0) and got[50] == (10, 2, 0) and got[70] == (1, 30_000, 0)
+    with duckdb.connect() as base:
+        base.register("pages", pages.toPandas())
+        wanted = base.sql(queries.SITE_LINES).fetchall()
+    assert Counter(tuple(r) for r in found) == Counter(wanted)
+
+
 def judged(rule_list, url):
     if url is None or "://" not in url:
         host = path = ""
