@@ -22,7 +22,8 @@ SLOTS = 1 << 14
 WIDTH = 32
 # Index vectors have so many entries of +1 or -1.
 NONZERO = 2
-# The network is fitted on so many labelled rows at most, the first by a hash of their id.
+# The network is fitted on so many labelled rows at most, the first by a hash of their id, and on twice as many rows
+# of documents with these ids.
 MOST_LABELLED = 20_000
 HIDDEN = 32
 EPOCHS = 40
@@ -226,7 +227,8 @@ def score_quality(
     """One row per row of ``docs``: id, held_out, score (0 to 1, higher: label 1 is likelier) and predicted.
 
     held_out rows (crc32 of the id mod 5 is 0) give no labels. Word vectors are summed over all texts; only the text
-    enters a score. The network learns from at most ``most_labelled`` labelled rows, the first by a hash of the id;
+    enters a score. The network learns from at most ``most_labelled`` labelled rows, the first by a hash of the id, and
+    from twice as many pairs of such a row and a document with its id, the first by a hash of features and label;
     a label that is NULL or not 0 or 1 is left out, several labels of one id all count. predicted is 1 from a score of
     0.3. NULL counts as empty text, which gets a score too, as do rows with a NULL id. Repeated rows are scored alike.
     Without labels every score is 0.5. Other columns are ignored. No rows in, no rows out.
