@@ -22,6 +22,8 @@ LONG_ENDINGS = ("re", "ve", "ll")
 _IN_LETTERS, _IN_NUMBERS, _IN_OTHERS, _AFTER_BLANK, _AFTER_SINGLE, _IN_RUN, _TWO_1, _THREE_2, _THREE_1, _ENDED = range(10)
 _STATES, _KINDS, _CUT = 10, 16, 16
 CHUNK = 64
+# A pre-token of more bytes than LONG is counted in parts of PART bytes side by side, in so many rounds at most.
+LONG, PART, MOST_ROUNDS = 4096, 512, 8
 
 
 @lru_cache(1)
@@ -72,11 +74,14 @@ def _kinds_of(points: np.ndarray, first: np.ndarray) -> np.ndarray:
     joins[:-1] = space[:-1] & ~space[1:]
     joins &= ~last
     kinds[joins] = np.where(points[joins] == 0x20, BLANK, SINGLE)
-    for at in np.flatnonzero((points == 0x27) & ~last):
-        if chr(points[at + 1]) in SHORT_ENDINGS:
-            kinds[at] = TWO
-        elif not last[at + 1] and chr(points[at + 1]) + chr(points[at + 2]) in LONG_ENDINGS:
-            kinds[at] = THREE
+    marks = np.flatnonzero((points == 0x27) & ~last)
+    one, two = points[marks + 1], points.take(marks + 2, mode="clip")
+    short = np.isin(one, [ord(c) for c in SHORT_ENDINGS])
+    long = np.zeros(len(marks), bool)
+    for a, b in LONG_ENDINGS:
+        long |= (one == ord(a)) & (two == ord(b)) & ~last[marks + 1]
+    kinds[marks[long]] = THREE
+    kinds[marks[short]] = TWO
     kinds[first] += FIRST
     return kinds
 
@@ -205,6 +210,9 @@ class CountingTransducer:
     what later bytes can still ask for: the longest suffix of the prefix that begins a token, and for each place in it
     the last token there and how many tokens fewer there were. States and transitions are compiled when a text first
     needs them; beyond ``most`` transitions compilation starts anew, so memory is bounded and counts stay the same.
+
+    A long pre-token is read in parts at once. A part's map says for states it may be entered in which state it ends in
+    and how many tokens it adds; maps are composed by a prefix scan.
     """
 
     def __init__(self, vocabulary: Vocabulary, most: int = 700_000) -> None:
@@ -213,9 +221,24 @@ class CountingTransducer:
         self._restart()
 
     def _restart(self) -> None:
-        self.states = [(b"", (b"",), (0,))]
-        self.numbers = {self.states[0]: 0}
+        self.states: list[tuple] = []
+        self.numbers: dict[tuple, int] = {}
         self.steps: dict[int, tuple[int, int]] = {}
+        self._number((b"", (b"",), (0,)))
+
+    def _number(self, state: tuple) -> int:
+        if state not in self.numbers:
+            self.numbers[state] = len(self.states)
+            self.states.append(state)
+        return self.numbers[state]
+
+    def _renewed(self, *kept: np.ndarray) -> list[np.ndarray]:
+        """Starts anew with the states named in ``kept`` alone and returns their new names."""
+        old, ends = self.states, np.cumsum([len(k) for k in kept])[:-1]
+        self._restart()
+        used, place = np.unique(np.concatenate(kept), return_inverse=True)
+        names = np.array([self._number(old[s >> 8]) << 8 for s in used.tolist()], np.int64)
+        return np.split(names[place], ends)
 
     def _together(self, left: bytes, right: bytes) -> bool:
         if not left:
@@ -239,22 +262,85 @@ class CountingTransducer:
         wanted = [grown[n:] in self.vocabulary.prefixes for n in range(begin, len(grown))]
         before = [(t, c - change) if w else (b"", 0) for w, t, c in zip(wanted, tokens[begin:], counts[begin:])]
         state = grown[begin:], (*(t for t, _ in before), token), (*(c for _, c in before), 0)
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
-            self.states.append(state)
-        step = self.steps[key] = self.numbers[state] << 8, change
+        step = self.steps[key] = self._number(state) << 8, change
         return step
 
     def count(self, word: bytes) -> int:
         if len(self.steps) > self.most:
             self._restart()
-        state = total = 0
-        known = self.steps.get
+        if len(word) > LONG:
+            return self._count_parts(word)
+        return self._walk(0, word)[1]
+
+    def _walk(self, state: int, word: bytes) -> tuple[int, int]:
+        total, known = 0, self.steps.get
         for byte in word:
             step = known(state | byte) or self._compile(state | byte)
             state = step[0]
             total += step[1]
-        return total
+        return state, total
+
+    def _step_all(self, states: np.ndarray, read: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One transition of many runs; equal ones are looked up once."""
+        asked, place = np.unique(states | read, return_inverse=True)
+        found = [self.steps.get(key) or self._compile(key) for key in asked.tolist()]
+        found = np.array(found, np.int64).reshape(-1, 2)[place]
+        return found[:, 0], found[:, 1]
+
+    def _maps(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Maps of the rows of ``parts`` as (part, state at its begin, state at its end, tokens), by the first two.
+
+        Every part is first read from the initial state. A state a part ends in is one the next part may be entered in,
+        so that one is read from there, until nothing new comes up: a few rounds, as the state hardly depends on what
+        is far behind. What is still unknown after MOST_ROUNDS is left to the caller.
+        """
+        part = np.zeros(0, np.int64)
+        begin, end, total = part, part, part
+        new, state = np.arange(len(parts)), np.zeros(len(parts), np.int64)
+        for _ in range(MOST_ROUNDS):
+            now, added = state, np.zeros(len(new), np.int64)
+            for column in parts.T:
+                if len(self.steps) > self.most:
+                    state, now, begin, end = self._renewed(state, now, begin, end)
+                now, change = self._step_all(now, column[new])
+                added += change
+            part, begin = np.append(part, new), np.append(begin, state)
+            end, total = np.append(end, now), np.append(total, added)
+            inner = part < len(parts) - 1
+            wanted = np.unique(np.stack([part[inner] + 1, end[inner]]), axis=1)
+            known = set(zip(part.tolist(), begin.tolist()))
+            fresh = [n for n, pair in enumerate(zip(*wanted.tolist())) if pair not in known]
+            new, state = wanted[:, fresh]
+            if not len(new):
+                break
+        order = np.lexsort((begin, part))
+        return part[order], begin[order], end[order], total[order]
+
+    def _count_parts(self, word: bytes) -> int:
+        parts = np.frombuffer(word, np.uint8)[:len(word) // PART * PART].reshape(-1, PART).astype(np.int64)
+        part, begin, end, total = self._maps(parts)
+        # Entry n of the scan is what n and the parts behind it come to; the last entry stands for nothing more.
+        places = {pair: n for n, pair in enumerate(zip(part.tolist(), begin.tolist()))}
+        last = len(part)
+        behind = [places.get(pair, last) for pair in zip((part + 1).tolist(), end.tolist())]
+        behind, sums = np.array([*behind, last]), np.append(total, 0)
+        stop = np.append(np.where(behind[:-1] == last, np.arange(last), -1), -1)
+        while (behind != last).any():
+            sums = sums + sums[behind]
+            stop = np.where(stop < 0, stop[behind], stop)
+            behind = behind[behind]
+        at = state = tokens = 0
+        while at < len(parts):
+            place = places.get((at, state))
+            if place is not None:
+                tokens += int(sums[place])
+                at, state = int(part[stop[place]]) + 1, int(end[stop[place]])
+                continue
+            if len(self.steps) > self.most:  # the names of states in the maps no longer hold
+                places, state = {}, int(self._renewed(np.array([state]))[0][0])
+            state, added = self._walk(state, parts[at].astype(np.uint8).tobytes())
+            at, tokens = at + 1, tokens + added
+        return tokens + self._walk(state, word[len(parts) * PART:])[1]
 
 
 class Encoder:

@@ -48,6 +48,52 @@ def test_cuts_do_not_depend_on_chunks(monkeypatch):
         assert (byte_bpe.pretoken_cuts(points, first) == whole).all()
 
 
+@pytest.mark.parametrize("part, rounds, most", [(512, 8, 700_000), (7, 8, 700_000), (64, 1, 700_000), (64, 8, 300), (16, 2, 300)])
+def test_long_pretokens_are_counted_in_parts(library, monkeypatch, part, rounds, most):
+    draw = random.Random(part)
+    words = [("thnd" * 1500), "=" * 5001, "中文字" * 700, "ab" * 2047 + "c", "".join(draw.choices("aeinorst", k=6000)),
+             "".join(draw.choices("etaoinshrdluABCDéß中", k=4100)), "x" * 4097, "8" * 4500]
+    monkeypatch.setattr(byte_bpe, "PART", part)
+    monkeypatch.setattr(byte_bpe, "MOST_ROUNDS", rounds)
+    monkeypatch.setattr(byte_bpe, "LONG", 100)
+    machine = byte_bpe.CountingTransducer(byte_bpe.Vocabulary(PATH), most=most)
+    walked = byte_bpe.CountingTransducer(machine.vocabulary)
+    for word in words:
+        wanted = len(library.encode(word, add_special_tokens=False).ids)
+        assert machine.count(word.encode()) == wanted == walked._walk(0, word.encode())[1]
+
+
+def test_maps_of_parts_are_closed_and_compose(library):
+    machine = byte_bpe.CountingTransducer(byte_bpe.Vocabulary(PATH))
+    word = "".join(random.Random(1).choices("aeinorst", k=4000)).encode()
+    parts = np.frombuffer(word, np.uint8).reshape(-1, 40).astype(np.int64)
+    part, begin, end, total = machine._maps(parts)
+    maps = {(p, b): (e, t) for p, b, e, t in zip(part.tolist(), begin.tolist(), end.tolist(), total.tolist())}
+    state = tokens = 0
+    for n in range(len(parts)):
+        assert maps[n, state] == machine._walk(state, word[40 * n:40 * n + 40])
+        state, added = maps[n, state]
+        tokens += added
+    assert tokens == len(library.encode(word.decode(), add_special_tokens=False).ids)
+
+
+def test_pretoken_of_megabytes(library):
+    draw = random.Random(11)
+    pieces = ["".join(draw.choices("etaoinshrdlu", k=draw.randrange(2, 9))) for _ in range(3000)]
+    word = "".join(draw.choices(pieces, k=1_000_000))
+    assert len(word) > 4_500_000
+    machine = byte_bpe.CountingTransducer(byte_bpe.Vocabulary(PATH))
+    found = token_counts.count_batch(pa.array([word, "=" * 5_000_000], pa.large_string()), machine)
+    assert found.tolist() == [len(library.encode(w, add_special_tokens=False).ids) for w in (word, "=" * 5_000_000)]
+
+
+def test_contractions_at_the_end_of_a_text(library):
+    texts = ["'r", "e'", "it'l", "l'll", "'", "''s", "we'v", "e've", "'d'm't", "x'", "re"]
+    machine = byte_bpe.CountingTransducer(byte_bpe.Vocabulary(PATH))
+    found = token_counts.count_batch(pa.array(texts, pa.large_string()), machine)
+    assert found.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_count_query_rows(make_docs, odd_rows, library):
     found = token_counts.token_counts(make_docs(odd_rows), PATH).collect()
     wanted = Counter(
