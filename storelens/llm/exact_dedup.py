@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storelens.llm.common import unused
 from storelens.session import materialize
 
 PREFIX_CHARS = 64
@@ -87,10 +88,10 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def digest() -> Column:
         return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
 
+    own, stay_id, stay_digest = unused(docs, "own_digest_", "stay_id_", "stay_digest_")
     groups = exact_groups(docs, id_col, text_col, {"digest_": digest()})
-    stay = groups.where("kept").select(F.col(id_col).alias("stay_id_"), F.col("digest_").alias("stay_digest_"))
-    own = docs.withColumn("own_digest_", digest())
-    met = own.join(
-        stay, (F.col("own_digest_") == F.col("stay_digest_")) & F.col(id_col).eqNullSafe(F.col("stay_id_")), "left_semi"
+    stay = groups.where("kept").select(F.col(id_col).alias(stay_id), F.col("digest_").alias(stay_digest))
+    met = docs.withColumn(own, digest()).join(
+        stay, (F.col(own) == F.col(stay_digest)) & F.col(id_col).eqNullSafe(F.col(stay_id)), "left_semi"
     )
-    return met.dropDuplicates(["own_digest_", id_col]).select(*docs.columns)
+    return met.dropDuplicates([own, id_col]).select(*docs.columns)

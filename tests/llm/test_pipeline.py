@@ -1,9 +1,24 @@
 """Each stage of the pipeline against its operator and plain Python."""
 
+import random
+import sys
+import zlib
 from collections import Counter
+from math import ceil, floor
+from pathlib import Path
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from storelens.llm import bag_minhash, quality, queries
+from storelens.llm.common import tokenizer_path
+from storelens.session import ensure_checkpoint_dir
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import plain  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -36,5 +51,96 @@ def test_stages(spark, monkeypatch):
         assert stage(spark, docs.limit(0), SMALL).isEmpty()
 
 
-def test_run(spark):
-    assert corpus_pipeline.run(spark, SMALL).count() > 0
+CLASHING = ["class_id", "root", "node", "copies", "key_", "payload_", "own_digest_", "stay_id_", "digest_", "label",
+            "own_node_", "id", "length", "bands", "of_", "source_size", "keep_", "copy_", "held_out", "sequence_id"]
+
+
+def test_run_equals_plain_python(spark, odd_rows, tmp_path, monkeypatch):
+    given = queries.table(spark, SMALL, "documents").collect()
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in given]
+    draw = random.Random(3)
+    rows += [(None if i is None else 10_000 + i, t, draw.choice(["web", "", None])) for i, t in odd_rows]
+    near = [[f"n{g}w{k}" for k in range(120)] for g in range(6)]
+    for n in range(40):
+        words = list(near[n % 6])
+        if n >= 6:
+            words[draw.randrange(120)] = f"changed{n}"
+        rows.append((20_000 + n, " ".join(words), "copies"))
+    names = ", ".join(f"{c} string" for c in CLASHING)
+    docs = spark.createDataFrame(
+        [(i, t, "en", s, 0, *["x"] * len(CLASHING)) for i, t, s in rows],
+        f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    labelled = [(r["doc_id"], r["quality"]) for r in queries.table(spark, SMALL, "labels").collect()]
+    labelled += [(None, 1), (10_004, None), (10_005, 3), (10**9, 0), (20_001, 1), (20_002, 1), (20_003, 1)]
+    spark.createDataFrame([(*r, 0) for r in labelled], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+
+    fits, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: fits.append((x, y, fit(x, y))) or fits[0][2])
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("pipeline-*"))
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    (written,) = set(folder.glob("pipeline-*")) - before
+    stages = [spark.read.parquet(f"file:{written}/{n}-{name}").collect() for n, (name, _) in enumerate(corpus_pipeline.STAGES, 1)]
+    for stage in stages[:-1]:
+        assert [*stage[0].asDict()] == docs.columns
+    kept = [[(r["doc_id"], r["text"], r["source"]) for r in stage] for stage in stages[:-1]]
+
+    vectors = plain.word_vectors([t for _, t, _ in rows], quality.SLOTS, quality.WIDTH, quality.NONZERO)
+    points = [plain.features(t, vectors, quality.SLOTS, quality.WIDTH) for _, t, _ in rows]
+    x, y, net = fits[0]
+    wanted = [(q, p) for i, q in labelled if q in (0, 1) and plain.teaches(i) for (d, _, _), p in zip(rows, points) if d == i]
+    shown = sorted((int(q), [round(v, 3) + 0.0 for v in p]) for q, p in zip(y, x.tolist()))
+    assert len(shown) == len(wanted) > 50
+    for (q, p), (label, values) in zip(shown, sorted((q, [round(v, 3) + 0.0 for v in p]) for q, p in wanted)):
+        assert q == label and p == pytest.approx(values, abs=2e-3)
+    scores = [plain.network_score(net, p) for p in points]
+    assert all(abs(s - 0.3) > 1e-4 for s in scores)
+    assert Counter(kept[0]) == Counter(r for r, s in zip(rows, scores) if s >= 0.3)
+    assert 40 < len(kept[0]) < len(rows)
+
+    stay = plain.last_of_each_text([r[:2] for r in kept[0]])
+    assert sorted(((t or "", i) for i, t, _ in kept[1]), key=str) == stay
+    assert Counter(kept[1]) <= Counter(kept[0]) and len(kept[1]) < len(kept[0])
+
+    assert sorted((r[0] for r in kept[2]), key=str) == plain.first_of_each_class([r[:2] for r in kept[1]])
+    assert Counter(kept[2]) <= Counter(kept[1]) and len(kept[2]) < len(kept[1])
+
+    copies, sizes = Counter(kept[3]), Counter()
+    for _, text, source in kept[2]:
+        sizes[source] += len(plain.words_of(text))
+    assert set(copies) <= set(kept[2])
+    for source, target in plain.targets(sizes).items():
+        own = [(copies[r], len(plain.words_of(r[1]))) for r in kept[2] if r[2] == source]
+        expected = target / sizes[source] if sizes[source] else 0
+        assert all(n in (floor(expected + 1e-9), ceil(expected - 1e-9)) for n, _ in own)
+        left = [size for n, size in own if size and n < expected - 1e-9]
+        more = [size for n, size in own if n > expected + 1e-9]
+        miss = abs(sum(n * size for n, size in own) - target)
+        assert miss <= (min(left) if left else max(more, default=0)) / 2 + 1e-6, (source, sorted(own))
+
+    library = Tokenizer.from_file(tokenizer_path())
+    wanted = Counter()
+    for (doc_id, text, _), number in copies.items():
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        for piece, start, length in plain.pieces(len(ids)):
+            code = zlib.crc32(np.array(ids[start:start + length], "<u4").tobytes())
+            wanted[doc_id, piece, start, length, code] += number
+    found = result.collect()
+    assert Counter(tuple(r) for r in found) == Counter(tuple(r) for r in stages[-1])
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == wanted
+    places = {}
+    for r in found:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in places.values():
+        ends = [0, *(o + n for o, n in sorted(parts))]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048
+    least = max(sum(r["length"] for r in found) / 2048, sum(r["length"] > 1024 for r in found))
+    assert len(places) <= 11 / 9 * least + 1
+
+
+def test_run_of_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels"):
+        queries.table(spark, SMALL, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
