@@ -24,6 +24,8 @@ _STATES, _KINDS, _CUT = 10, 16, 16
 CHUNK = 64
 # A pre-token of more bytes than LONG is counted in parts of PART bytes side by side, in so many rounds at most.
 LONG, PART, MOST_ROUNDS = 4096, 512, 8
+# The library is handed so many words at once: what it returns for a word takes much more memory than the ids.
+AT_ONCE = 2048
 
 
 @lru_cache(1)
@@ -361,10 +363,12 @@ class Encoder:
         if len(self.numbers) > self.most:
             self._restart()
         fresh = [w for w in words if w not in self.numbers]
-        for word, found in zip(fresh, self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
-            self.numbers[word] = len(self.numbers)
-            self.flat.extend(found.ids)
-            self.ends.append(len(self.flat))
+        for at in range(0, len(fresh), AT_ONCE):
+            part = fresh[at:at + AT_ONCE]
+            for word, found in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
+                self.numbers[word] = len(self.numbers)
+                self.flat.extend(found.ids)
+                self.ends.append(len(self.flat))
         numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         ends = np.array(self.ends, np.int64)
         return np.array(self.flat, np.uint32), ends[numbers], ends[numbers + 1] - ends[numbers]
