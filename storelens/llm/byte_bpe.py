@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 from array import array
 from functools import lru_cache
@@ -351,6 +352,7 @@ class Encoder:
     def __init__(self, path: str, most: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of the library only wait for each other
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self._restart()
 
