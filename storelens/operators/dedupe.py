@@ -24,13 +24,14 @@ def unique_rows(parsed: DataFrame, spec: TableSpec) -> DataFrame:
 def absent(batch: DataFrame, target: DataFrame | None, key: str) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``.
 
-    The keys of ``target`` are cut down to those of the batch before the anti join, which so meets no more keys than the
-    batch has. How either join is done is left to the sizes Spark measures while it runs.
+    Both sides are shuffled by key and merged, whatever they are estimated at: what is read from documents is taken for
+    many times smaller than it is, and a broadcast planned on that goes through the driver. As an outer join it also
+    stays above the aggregation of ``batch``, where an anti join would meet every copy of a row with all its columns.
     """
     if target is None:
         return batch
-    known = target.select(key).join(batch.select(key), key, "left_semi")
-    return batch.join(known, key, "left_anti").select(*batch.columns)
+    known = target.select(key, F.lit(True).alias(f"{key}_known")).hint("merge")
+    return batch.join(known, key, "left").where(F.col(f"{key}_known").isNull()).select(*batch.columns)
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None) -> DataFrame:

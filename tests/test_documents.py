@@ -101,6 +101,25 @@ def test_new_rows_both_ways_agree(spark):
     assert dedupe.new_rows(batch, None).count() == 20
 
 
+def test_new_rows_sends_no_keys_through_the_driver(spark, tmp_path):
+    for name, numbers in (("incoming", (1, 1, 2, 3)), ("stored", (2, 2, 5))):
+        texts(spark, [json.dumps({"purchase_id": str(i)}) for i in numbers]).write.parquet(f"{tmp_path}/{name}")
+    incoming, stored = (
+        documents.parse_documents(spark.read.parquet(f"{tmp_path}/{name}"), PURCHASES) for name in ("incoming", "stored"))
+    batch = dedupe.unique_rows(incoming, PURCHASES)
+    fresh = dedupe.new_rows(batch, stored)
+    assert "Broadcast" not in fresh._jdf.queryExecution().executedPlan().toString()
+    assert fresh.columns == batch.columns
+    assert sorted(r["purchase_id"] for r in fresh.collect()) == ["1", "3"]
+
+
+def test_absent_keeps_rows_without_key_and_repeated_rows(spark):
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e"), (3, "e")], "k int, v string")
+    target = spark.createDataFrame([(2,), (2,), (None,), (4,)], "k int")
+    found = sorted(map(tuple, dedupe.absent(batch, target, "k").collect()), key=str)
+    assert found == [(1, "a"), (1, "b"), (3, "e"), (3, "e"), (None, "d")]
+
+
 def test_parse_reads_each_document_once(spark):
     typed = documents.parse_documents(texts(spark, ['{"id": 1}']), PRODUCTS)
     plan = typed._jdf.queryExecution().executedPlan().toString()
