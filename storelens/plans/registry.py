@@ -22,7 +22,7 @@ from storelens.operators.features import (
 from storelens.plans import daily
 from storelens.plans.daily import features_schema
 from storelens.plans.views import table, view
-from storelens.session import ensure_checkpoint_dir
+from storelens.session import ensure_checkpoint_dir, release
 from storelens.sources import files, hadoop, messages, sinks, tables
 from storelens.sources.specs import CUSTOMERS, PRODUCTS, PURCHASES, SPECS, STORES, TableSpec
 from storelens.streaming import alerts, folder, jobs, outbox, store
@@ -355,10 +355,11 @@ def _typed_stream(spark: SparkSession, sf: str) -> DataFrame:
     sent = view(spark, sf, "v_raw_purchases").select(
         F.lit(None).cast("string").alias("key"), F.col("full_data").alias("value")
     )
-    channel = {"format": "parquet", "path": f"{root}/topic"}
+    channel = {"format": "parquet", "path": f"{root}/topic", "compression": "zstd"}
     for _ in ("first", "again"):
         # Like a topic with several partitions; the hint also splits uneven ones.
         messages.write_messages(sent.hint("rebalance"), channel)
+        release(spark)
         jobs.stream_raw(
             messages.stream_messages(spark, channel),
             f"{root}/raw", f"{root}/rejects", f"{root}/land",

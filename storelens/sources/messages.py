@@ -18,6 +18,9 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+# A micro-batch over files takes about so many bytes of them for each core; what it caches and shuffles is many times that.
+CORE_BYTES = 16 << 20
+
 
 def to_messages(df: DataFrame, key_col: str = "_id") -> DataFrame:
     """Key and JSON text of each document; times as ISO text, nulls kept."""
@@ -56,8 +59,20 @@ def read_messages(spark: SparkSession, channel: dict[str, str]) -> DataFrame:
     return _as_text((reader if fmt == "kafka" else reader.schema(MESSAGE_SCHEMA)).load())
 
 
+def bounded(spark: SparkSession, options: dict[str, str], core_bytes: int) -> dict[str, str]:
+    """Options of a stream over files with a bound on its micro-batches, unless they name one."""
+    if {"maxfilespertrigger", "maxbytespertrigger"} & {name.lower() for name in options}:
+        return options
+    return {**options, "maxBytesPerTrigger": str(core_bytes * spark.sparkContext.defaultParallelism)}
+
+
 def stream_messages(spark: SparkSession, channel: dict[str, str]) -> DataFrame:
-    """The same as a stream; its checkpoint keeps the position."""
+    """The same as a stream; its checkpoint keeps the position.
+
+    Files are taken in micro-batches of bounded size. Other sources have an option of their own for that, such as
+    ``maxOffsetsPerTrigger``, which belongs in the channel.
+    """
     fmt, options = _split(channel)
-    reader = spark.readStream.format(fmt).options(**_reader_options(fmt, options))
+    options = _reader_options(fmt, options)
+    reader = spark.readStream.format(fmt).options(**(bounded(spark, options, CORE_BYTES) if "path" in options else options))
     return _as_text((reader if fmt == "kafka" else reader.schema(MESSAGE_SCHEMA)).load())

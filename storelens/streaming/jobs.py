@@ -15,11 +15,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from storelens.operators import clean, dedupe, documents, relay, rollup
+from storelens.session import release
 from storelens.sources import messages
 from storelens.sources.specs import LOGIN_SCHEMA, RAW_SCHEMA, TableSpec
 from storelens.streaming import store
 
 ONCE = {"availableNow": True}
+# Bytes of raw files that a micro-batch takes for each core. Larger than for messages, as every one reads the stored hashes.
+RAW_CORE_BYTES = 64 << 20
 
 SENT_SCHEMA = T.StructType([T.StructField("id", T.LongType())])
 
@@ -56,6 +59,7 @@ def _each_batch(
 
     def on_batch(batch: DataFrame, number: int) -> None:
         handle(batch, run, number)
+        release(batch.sparkSession)  # else shuffle files of all batches stay until the driver happens to collect garbage
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or ONCE)).start()
@@ -75,9 +79,10 @@ def stream_raw(
     return _each_batch(stream, checkpoint, handle, trigger)
 
 
-def read_raw_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """The raw table as a stream of its new files."""
-    reader = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files)
+def read_raw_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The raw table as a stream of its new files, in micro-batches of ``max_files`` or else of bounded size."""
+    limit = {"maxFilesPerTrigger": str(max_files)} if max_files else messages.bounded(spark, {}, RAW_CORE_BYTES)
+    reader = spark.readStream.schema(RAW_SCHEMA).options(**limit)
     return reader.option("recursiveFileLookup", True).parquet(path)
 
 

@@ -45,6 +45,12 @@ def test_a_batch_opens_only_its_buckets(spark, tmp_path):
     assert sorted(store.absent(batch, path, KEYS).collect(), key=str) == [("new", 2), (None, 3)]
 
 
+def test_files_of_a_keyed_table_are_as_small_as_their_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.write_batch(frame(spark, [(f"k{i}", i) for i in range(2000)]), path, "r", 0, KEYS)
+    assert max(os.path.getsize(f) for f in data_files(path)) < 20_000
+
+
 def test_many_keys_are_joined_without_values(spark, tmp_path):
     path = str(tmp_path / "t")
     store.write_batch(frame(spark, [(f"k{i}", i) for i in range(3000)]), path, "r", 0, KEYS)

@@ -47,6 +47,35 @@ def test_landing_and_typing_survive_replays(spark, tmp_path):
     assert batch.exceptAll(typed().select("row_hash")).isEmpty()
 
 
+def test_micro_batches_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    channel = {"format": "parquet", "path": f"{root}/topic"}
+    sent = spark.range(60).select(
+        F.lit(None).cast("string").alias("key"), F.to_json(F.struct(F.col("id").cast("string").alias("purchase_id"))).alias("value"))
+    messages.write_messages(sent.repartition(6), channel)
+    monkeypatch.setattr(messages, "CORE_BYTES", 1)
+    monkeypatch.setattr(jobs, "RAW_CORE_BYTES", 1)
+    assert messages.bounded(spark, {"maxFilesPerTrigger": "2"}, 1) == {"maxFilesPerTrigger": "2"}
+    jobs.stream_raw(messages.stream_messages(spark, channel), f"{root}/raw", f"{root}/rejects", f"{root}/land").awaitTermination()
+    landed = [number for _, number in store.batches(spark, f"{root}/raw")]
+    assert len(landed) > 1
+    jobs.stream_parse(jobs.read_raw_stream(spark, f"{root}/raw"), PURCHASES, f"{root}/typed", f"{root}/parse").awaitTermination()
+    assert len(store.batches(spark, f"{root}/typed")) > 1
+    typed = store.read_store(spark, f"{root}/typed", jobs.typed_layout(PURCHASES))
+    assert sorted(int(r["purchase_id"]) for r in typed.collect()) == list(range(60))
+
+
+def test_a_batch_leaves_no_shuffle_files_behind(spark, tmp_path, monkeypatch):
+    released = []
+    monkeypatch.setattr(jobs, "release", released.append)
+    spark.range(8).repartition(4).write.parquet(f"{tmp_path}/in")
+    source = spark.readStream.schema("id long").option("maxFilesPerTrigger", 2).parquet(f"{tmp_path}/in")
+    jobs.stream_relay(
+        source.selectExpr("id", "id AS user_id", "'in' AS event_type", "current_timestamp() AS event_timestamp"),
+        {"format": "json", "path": f"{tmp_path}/topic"}, f"{tmp_path}/ledger", f"{tmp_path}/check").awaitTermination()
+    assert len(released) == len(store.batches(spark, f"{tmp_path}/ledger")) > 1
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     path = f"{tmp_path}/t"
     df = spark.createDataFrame([(1,), (2,)], "id long")
