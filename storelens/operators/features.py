@@ -25,6 +25,15 @@ PRODUCT_GROUPS = {
     "organic": "organic",
 }
 
+RECENT_GROUPS = (("milk", 30), ("fruits", 30), ("fruits", 14), ("veggies", 14), ("meat", 7), ("meat", 90))
+MEASURES = (
+    "total_purchases", "amount", "amounts", "max_cart_value", "min_cart_value", "last_purchase_date", "first_purchase_date",
+    "total_spent_7d", "cart_size", "carts", "delivery_purchases", "cash_purchases", "card_purchases", "weekend_purchases",
+    "weekday_purchases", "night_purchases", "morning_purchases", "early_bird_purchases", "single_item_purchases",
+    *(f"recent_{days}d_purchases" for days in (7, 14, 30, 90)), *(f"{group}_purchases" for group in PRODUCT_GROUPS),
+    *(f"{group}_purchases_{days}d" for group, days in RECENT_GROUPS),
+)
+
 
 @dataclass(frozen=True)
 class FeatureConfig:
@@ -59,15 +68,20 @@ class RunTime:
         day = datetime.strptime(ds, "%Y%m%d").date()
         return cls(day, as_of or datetime.combine(day + timedelta(days=1), time()))
 
-    def bought_since(self, days: int) -> Column:
+    @property
+    def at_midnight(self) -> bool:
+        """Whether now is the start of a day, so that ``within`` takes a day whole or not at all."""
+        return self.as_of.tzinfo is None and self.as_of.time() == time()
+
+    def bought_since(self, days: int, bought_at: str = "purchase_datetime") -> Column:
         """Purchase day within ``days`` before the partition day, as a bound on the time itself."""
         start = datetime.combine(self.ds - timedelta(days=days), time())
-        return F.col("purchase_datetime") >= at(start)
+        return F.col(bought_at) >= at(start)
 
-    def within(self, days: int) -> Column:
+    def within(self, days: int, bought_at: str = "purchase_datetime") -> Column:
         """Purchase time within ``days`` before now."""
         start = self.as_of - timedelta(days=days)
-        return F.col("purchase_datetime") >= at(start)
+        return F.col(bought_at) >= at(start)
 
 
 def with_cart(purchases: DataFrame, config: FeatureConfig) -> DataFrame:
@@ -98,37 +112,44 @@ def _facts(purchases: DataFrame, run: RunTime, config: FeatureConfig) -> DataFra
         (F.col("is_delivery").cast("int") == 1).alias("delivered"),
         F.size("cart").alias("cart_size"),
         F.hour(bought_at).alias("hour"),
-        F.dayofweek(bought_at).isin(1, 7).alias("weekend"),
         *[run.within(d).alias(f"in_{d}d") for d in (7, 14, 30, 90)],
         *[test.alias(name) for name, test in groups.items()],
     )
 
 
 def _counted(run: RunTime) -> dict[str, Column]:
-    """Conditions over ``_facts`` whose matching purchases are counted per customer."""
+    """Conditions over ``_facts`` whose matching purchases are counted per customer; without those of ``_by_day``."""
     fact = F.col
     counted = {
         "delivery_purchases": fact("delivered"),
         "cash_purchases": fact("payment_method") == "cash",
         "card_purchases": fact("payment_method") == "card",
-        "weekend_purchases": fact("weekend"),
-        "weekday_purchases": ~fact("weekend"),
         "night_purchases": fact("hour") >= 20,
         "morning_purchases": fact("hour") < 10,
         "early_bird_purchases": fact("hour").between(12, 15),
         "single_item_purchases": fact("cart_size") == 1,
     }
-    for days in (7, 14, 30, 90):
-        counted[f"recent_{days}d_purchases"] = run.bought_since(days)
     for group in PRODUCT_GROUPS:
         counted[f"{group}_purchases"] = fact(f"has_{group}")
-    for group, days in (
-        ("milk", 30), ("fruits", 30), ("fruits", 14), ("veggies", 14), ("meat", 7), ("meat", 90),
-    ):
-        counted[f"{group}_purchases_{days}d"] = fact(f"has_{group}") & fact(f"in_{days}d")
+    if not run.at_midnight:
+        for group, days in RECENT_GROUPS:
+            counted[f"{group}_purchases_{days}d"] = fact(f"has_{group}") & fact(f"in_{days}d")
     return counted
 
 
+def _by_day(run: RunTime) -> dict[str, Column]:
+    """Counts that take all purchases of a day or none, from the finished row of the day: they need no aggregate of their own."""
+    day = "first_purchase_date"
+    weekend = F.dayofweek(day).isin(1, 7)
+    tests = {"weekend_purchases": (weekend, "total_purchases"), "weekday_purchases": (~weekend, "total_purchases")}
+    for days in (7, 14, 30, 90):
+        tests[f"recent_{days}d_purchases"] = (run.bought_since(days, day), "total_purchases")
+    if run.at_midnight:
+        for group, days in RECENT_GROUPS:
+            tests[f"{group}_purchases_{days}d"] = (run.within(days, day), f"{group}_purchases")
+    return {name: F.when(test, F.col(count)).otherwise(0) for name, (test, count) in tests.items()}
+
+
 def customer_cube(
     purchases: DataFrame,
     ds: str,
@@ -150,46 +171,46 @@ def customer_cube(
     known = purchases.where(F.col("customer_id").isNotNull())
     if config.bounded:
         known = known.where(F.col("purchase_datetime") <= at(run.as_of))
-    counted = _counted(run)
-    facts = _facts(with_cart(known, config), run, config)
-    measured = F.struct(
-        "amount", "purchase_datetime", "cart_size", F.when(F.col("in_7d"), F.col("amount")).alias("recent"),
-        *[test.alias(name) for name, test in counted.items()],
-    )
-    facts = facts.withColumn("m", measured)
+    counted, by_day = _counted(run), _by_day(run)
+    facts = _facts(with_cart(known, config), run, config).withColumns(counted)
 
-    def row(kind: str, value: Column, m: Column, product: Column | None = None) -> Column:
+    def row(kind: str, value: Column, product: Column | None = None) -> Column:
         none = F.lit(None).cast("string")
         return F.struct(
-            F.lit(kind).alias("kind"), value.cast("string").alias("value"), m.alias("m"),
-            (none if product is None else product).alias("product"),
+            F.lit(kind).alias("kind"), value.cast("string").alias("value"), (none if product is None else product).alias("product"),
         )
 
-    blank = F.when(F.lit(False), F.col("m"))
     rows = [
-        F.array(
-            row("day", F.to_date("purchase_datetime"), F.col("m")),
-            row("city", F.col("store_city"), blank), row("store", F.col("store_id"), blank),
-        ),
-        F.coalesce(F.transform(F.array_distinct("cart"), lambda c: row("category", c, blank)), F.array()),
+        F.array(row("day", F.to_date("purchase_datetime")), row("city", F.col("store_city")), row("store", F.col("store_id"))),
+        F.coalesce(F.transform(F.array_distinct("cart"), lambda c: row("category", c)), F.array()),
     ]
     if products is not None:
-        marks = F.transform(F.array_distinct("products"), lambda p: row("organic", F.col("purchase_id"), blank, p))
+        marks = F.transform(F.array_distinct("products"), lambda p: row("organic", F.col("purchase_id"), p))
         rows.append(F.coalesce(marks, F.array()))
-    useful = F.filter(F.concat(*rows), lambda r: (r.kind == "day") | r.value.isNotNull())
-    tall = facts.select("customer_id", F.explode(useful).alias("row_")).select("customer_id", "row_.*")
+    # The measures stay columns beside the rows, so those nobody asks for go before the rows are made.
+    measures = ["amount", "purchase_datetime", "cart_size", "in_7d", *counted]
+    tall = facts.select("customer_id", *measures, F.explode(F.concat(*rows)).alias("row_")).select("customer_id", *measures, "row_.*")
+    tall = tall.where((F.col("kind") == "day") | F.col("value").isNotNull())
     if products is not None:
         tall = _organic_rows(tall, products)
-    m = F.col
-    return tall.groupBy("customer_id", "kind", "value").agg(
-        F.count("m").alias("total_purchases"),
-        F.sum("m.amount").alias("amount"), F.count("m.amount").alias("amounts"),
-        F.max("m.amount").alias("max_cart_value"), F.min("m.amount").alias("min_cart_value"),
-        F.max("m.purchase_datetime").alias("last_purchase_date"), F.min("m.purchase_datetime").alias("first_purchase_date"),
-        F.sum("m.recent").alias("total_spent_7d"),
-        F.sum("m.cart_size").alias("cart_size"), F.count("m.cart_size").alias("carts"),
-        *[F.count_if(m(f"m.{name}")).alias(name) for name in counted],
+    of_day = F.col("kind") == "day"
+
+    def measure(name: str) -> Column:
+        return F.when(of_day, F.col(name))
+
+    recent = F.when(F.col("in_7d"), measure("amount"))
+    cube = tall.groupBy("customer_id", "kind", "value").agg(
+        F.count_if(of_day).alias("total_purchases"),
+        F.sum(measure("amount")).alias("amount"), F.count(measure("amount")).alias("amounts"),
+        F.max(measure("amount")).alias("max_cart_value"), F.min(measure("amount")).alias("min_cart_value"),
+        F.max(measure("purchase_datetime")).alias("last_purchase_date"), F.min(measure("purchase_datetime")).alias("first_purchase_date"),
+        *([] if run.at_midnight else [F.sum(recent).alias("total_spent_7d")]),
+        F.sum(measure("cart_size")).alias("cart_size"), F.count(measure("cart_size")).alias("carts"),
+        *[F.count_if(of_day & F.col(name)).alias(name) for name in counted],
     )
+    if run.at_midnight:
+        by_day["total_spent_7d"] = F.when(run.within(7, "first_purchase_date"), F.col("amount"))
+    return cube.withColumns(by_day).select("customer_id", "kind", "value", *MEASURES)
 
 
 def _organic_rows(tall: DataFrame, products: DataFrame) -> DataFrame:

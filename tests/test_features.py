@@ -1,6 +1,7 @@
 """One-pass features against separate aggregates joined together, and edge rows."""
 
-from datetime import datetime
+import re
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -131,3 +132,34 @@ def test_purchases_are_read_once_and_nothing_is_sorted_to_aggregate(spark):
     for plan in plans:
         assert plan.count("ExistingRDD[purchase_id") == 1
         assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_only_what_differs_within_a_day_is_aggregated(spark):
+    plan = features.customer_features(view(spark, SF_DIR, "v_purchases"), RUN_DS, None, RETAIL_CONFIG)._jdf.queryExecution()
+    # A row that is no day has no measures to be copied into it, and a count that takes days whole has no place in the hash table.
+    assert "payment_method" not in re.search(r"Generate explode\(concat.*", plan.optimizedPlan().toString())[0].split("]", 1)[0]
+    kept = re.search(r"HashAggregate\(keys=\[customer_id#\d+L, kind#\d+, value#\d+\], functions=\[(partial_.*)", plan.executedPlan().toString())[1]
+    assert kept.split("output=")[0].count("partial_") <= 19
+
+
+def test_counts_of_whole_days_on_odd_rows(spark):
+    start = datetime(2024, 3, 31)
+    rows = [purchase(str(n), "a", start - timedelta(hours=5 * n)) for n in range(200)]
+    rows += [purchase(None, "a", None, amount=None, pay=None), purchase("1", "b", None, items=None), rows[3], rows[3]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for as_of in (None, datetime(2024, 4, 1), datetime(2024, 3, 31, 13, 17)):
+        now = as_of or datetime(2024, 4, 1)
+        got = {r["customer_id"]: r for r in features.customer_metrics(df, "20240331", as_of).collect()}
+        for who in "ab":
+            mine = [r for r in rows if r[1] == who]
+            at = [r[8] for r in mine if r[8]]
+            want = {
+                "total_purchases": len(mine),
+                "weekend_purchases": sum(t.weekday() > 4 for t in at), "weekday_purchases": sum(t.weekday() < 5 for t in at),
+                "unique_purchase_days": len({t.date() for t in at}),
+                "total_spent_7d": sum(r[4] for r in mine if r[8] and r[8] >= now - timedelta(days=7)),
+                "milk_purchases_30d": sum(t >= now - timedelta(days=30) for t in at),
+                "fruits_purchases_14d": sum(t >= now - timedelta(days=14) for t in at),
+            }
+            want |= {f"recent_{d}d_purchases": sum(t >= start - timedelta(days=d) for t in at) for d in (7, 14, 30, 90)}
+            assert {k: got[who][k] for k in want} == want, (as_of, who)
