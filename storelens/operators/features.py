@@ -25,6 +25,10 @@ PRODUCT_GROUPS = {
     "organic": "organic",
 }
 
+# What is read of a purchase; its id only with a product table.
+PURCHASE_COLUMNS = (
+    "purchase_id", "customer_id", "store_id", "store_city", "total_amount", "payment_method", "is_delivery", "items", "purchase_datetime",
+)
 RECENT_GROUPS = (("milk", 30), ("fruits", 30), ("fruits", 14), ("veggies", 14), ("meat", 7), ("meat", 90))
 MEASURES = (
     "total_purchases", "amount", "amounts", "max_cart_value", "min_cart_value", "last_purchase_date", "first_purchase_date",
@@ -174,25 +178,20 @@ def customer_cube(
     counted, by_day = _counted(run), _by_day(run)
     facts = _facts(with_cart(known, config), run, config).withColumns(counted)
 
-    def row(kind: str, value: Column, product: Column | None = None) -> Column:
-        none = F.lit(None).cast("string")
-        return F.struct(
-            F.lit(kind).alias("kind"), value.cast("string").alias("value"), (none if product is None else product).alias("product"),
-        )
+    def row(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
 
-    rows = [
+    rows = F.concat(
         F.array(row("day", F.to_date("purchase_datetime")), row("city", F.col("store_city")), row("store", F.col("store_id"))),
         F.coalesce(F.transform(F.array_distinct("cart"), lambda c: row("category", c)), F.array()),
-    ]
+    )
     if products is not None:
-        marks = F.transform(F.array_distinct("products"), lambda p: row("organic", F.col("purchase_id"), p))
-        rows.append(F.coalesce(marks, F.array()))
+        facts = _with_organic(facts, products)
+        rows = F.when(F.col("product").isNull(), rows).otherwise(F.array(row("organic", F.col("purchase_id"))))
     # The measures stay columns beside the rows, so those nobody asks for go before the rows are made.
     measures = ["amount", "purchase_datetime", "cart_size", "in_7d", *counted]
-    tall = facts.select("customer_id", *measures, F.explode(F.concat(*rows)).alias("row_")).select("customer_id", *measures, "row_.*")
+    tall = facts.select("customer_id", *measures, F.explode(rows).alias("row_")).select("customer_id", *measures, "row_.*")
     tall = tall.where((F.col("kind") == "day") | F.col("value").isNotNull())
-    if products is not None:
-        tall = _organic_rows(tall, products)
     of_day = F.col("kind") == "day"
 
     def measure(name: str) -> Column:
@@ -213,17 +212,23 @@ def customer_cube(
     return cube.withColumns(by_day).select("customer_id", "kind", "value", *MEASURES)
 
 
-def _organic_rows(tall: DataFrame, products: DataFrame) -> DataFrame:
-    """Rows of kind ``organic`` only where the product is one; the other rows pass.
+def _with_organic(facts: DataFrame, products: DataFrame) -> DataFrame:
+    """The purchases, without ``product``, and a row of ids for each organic product in their carts.
 
-    Only these narrow rows of cart elements meet the products, never the purchases. Rows without a product get keys
-    that no product has, spread so that they are no frequent key.
+    Cart elements meet the products before a purchase becomes rows by day, city, store and category, so what is shuffled for that
+    is each purchase once and its narrow cart elements. Purchases get keys that no product has, spread so that they are no
+    frequent key.
     """
     organic = products.where("is_organic").select(F.col("product_id").alias("organic_")).distinct()
-    spread = F.concat(F.lit("\n"), F.pmod(F.xxhash64("customer_id", "kind", "value"), F.lit(100_000)).cast("string"))
-    keyed = tall.withColumn("key_", F.coalesce("product", spread))
-    met = keyed.join(organic, F.col("key_") == F.col("organic_"), "left")
-    return met.where((F.col("kind") != "organic") | F.col("organic_").isNotNull()).drop("key_", "organic_", "product")
+    none = F.array(F.lit(None).cast("string"))
+    bought = F.coalesce(F.array_compact(F.array_distinct("products")), F.array())
+    both = facts.withColumn("product", F.explode(F.concat(none, bought))).drop("products")
+    ids = ["customer_id", "purchase_id", "product"]
+    narrow = both.select(*ids, *[F.when(F.col("product").isNull(), F.col(c)).alias(c) for c in both.columns if c not in ids])
+    spread_by = F.xxhash64("customer_id", "purchase_id", "store_id", "purchase_datetime")
+    spread = F.concat(F.lit("\n"), F.pmod(spread_by, F.lit(100_000)).cast("string"))
+    met = narrow.withColumn("key_", F.coalesce("product", spread)).join(organic, F.col("key_") == F.col("organic_"), "left")
+    return met.where("product IS NULL OR organic_ IS NOT NULL").drop("key_", "organic_")
 
 
 def merge_cubes(cube: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """One-pass features against separate aggregates joined together, and edge rows."""
 
+import json
 import re
 from datetime import datetime, timedelta
 from functools import reduce
@@ -7,9 +8,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tables import SF_DIR
-from storelens.operators import features
-from storelens.plans.registry import RETAIL_CONFIG, RUN_DS
+from storelens.operators import dedupe, documents, features
+from storelens.plans.registry import RETAIL_CONFIG, RUN_DS, queries
 from storelens.plans.views import view
+from storelens.sources.specs import PURCHASES
 
 AS_OF = datetime(2001, 8, 2)
 
@@ -136,8 +138,7 @@ def test_purchases_are_read_once_and_nothing_is_sorted_to_aggregate(spark):
 
 def test_only_what_differs_within_a_day_is_aggregated(spark):
     plan = features.customer_features(view(spark, SF_DIR, "v_purchases"), RUN_DS, None, RETAIL_CONFIG)._jdf.queryExecution()
-    # A row that is no day has no measures to be copied into it, and a count that takes days whole has no place in the hash table.
-    assert "payment_method" not in re.search(r"Generate explode\(concat.*", plan.optimizedPlan().toString())[0].split("]", 1)[0]
+    # A count that takes days whole has no place in the hash table.
     kept = re.search(r"HashAggregate\(keys=\[customer_id#\d+L, kind#\d+, value#\d+\], functions=\[(partial_.*)", plan.executedPlan().toString())[1]
     assert kept.split("output=")[0].count("partial_") <= 19
 
@@ -163,3 +164,33 @@ def test_counts_of_whole_days_on_odd_rows(spark):
             }
             want |= {f"recent_{d}d_purchases": sum(t >= start - timedelta(days=d) for t in at) for d in (7, 14, 30, 90)}
             assert {k: got[who][k] for k in want} == want, (as_of, who)
+
+
+def test_copies_are_found_without_shuffling_columns_nobody_reads(spark):
+    plan = queries()["typed_customer_metrics"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("row_hash" in line for line in shuffled)
+    assert not any(name in line for line in shuffled for name in ("customer_first_name", "store_name", "delivery_street"))
+
+
+def test_read_columns_and_hash_keep_as_many_rows_as_all_columns(spark):
+    bought = {"purchase_id": "1", "customer": {"customer_id": "a", "first_name": "x"}, "total_amount": 0.0}
+    other = {"purchase_id": "1", "customer": {"customer_id": "a", "first_name": "y"}, "total_amount": -0.0}
+    texts = [json.dumps(d) for d in (bought, bought, other, {}, {}, {"customer": {"customer_id": None}}, {"total_amount": "NaN"})] + ["", "[1] [2]", None]
+    typed = documents.parse_documents(spark.createDataFrame([(t,) for t in texts], "full_data string"), PURCHASES)
+    whole = dedupe.unique_rows(typed, PURCHASES).select("row_hash", *features.PURCHASE_COLUMNS)
+    narrow = dedupe.unique_rows(typed.select("row_hash", *features.PURCHASE_COLUMNS), PURCHASES)
+    assert narrow.count() == whole.count() >= 3
+    assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
+
+
+def test_products_meet_carts_before_purchases_become_rows(spark):
+    carts = ['[{"product_id":"p1"},{"product_id":null},{"product_id":"P1"},{"product_id":"p3"}]', '[{"product_id":null}]', "[]", None, "bad"]
+    rows = [purchase(n, "a", datetime(2024, 3, 1), items=cart) for n, cart in enumerate(carts)]
+    rows = [(None if r[0] is None else str(r[0]), *r[1:]) for r in [*rows, purchase(None, "a", None, items=carts[0]), purchase(0, "a", None, items=carts[0])]]
+    products = spark.createDataFrame([("p1", True), ("p2", True), ("p3", True), (None, True), ("p4", None)], "product_id string, is_organic boolean")
+    cube = features.customer_cube(spark.createDataFrame(rows, SCHEMA), "20240331", products=products)
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(CASE WHEN isnull(product") < plan.index("Join LeftOuter")
+    got = sorted((r["kind"], r["value"] or "", r["total_purchases"]) for r in cube.collect())
+    assert got == [("city", "c1", 0), ("day", "", 2), ("day", "2024-03-01", 5), ("organic", "0", 0), ("store", "s1", 0)]
