@@ -86,8 +86,12 @@ def _profile(df: DataFrame) -> DataFrame:
 
 
 def _profiles(df: DataFrame) -> DataFrame:
+    """Both profiles and the names to fill in come from one reading of the sales, kept as the columns they look at."""
     tests = clean.null_tests(PROFILED, zero=("quantity",))
-    return clean.compare_profiles(df, sales.fill_sales(df), tests)
+    profiled, path = df.select(*PROFILED), f"{scratch(df.sparkSession)}/profiled"
+    profiled.write.parquet(path)
+    rows = df.sparkSession.read.schema(profiled.schema).parquet(path)
+    return clean.compare_profiles(rows, sales.fill_sales(rows), tests)
 
 
 def _repaired(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from storelens.operators import clean, sales
+from storelens.plans.registry import queries
 from storelens.plans.views import view
 from storelens.sources.files import read_sales_csv
 from storelens.sources.specs import SALES_CSV_SCHEMA
@@ -82,6 +83,24 @@ def test_repair_never_adds_gaps(spark):
         assert row["after"] <= row["before"]
 
 
+def test_profiles_read_the_sales_once(spark):
+    found = queries()["null_profile_compare"](spark, SF_DIR)
+    assert all("/profiled/" in name for name in found.inputFiles())
+    want = clean.compare_profiles(df := view(spark, SF_DIR, "v_sales"), sales.fill_sales(df), clean.null_tests(
+        ["category", "item", "price_per_unit", "quantity", "total_spent"], zero=("quantity",)))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_dictionary_sorts_distinct_names_only(spark):
+    rows = [*ROWS, sale("greater", "tea", "2.50", 1, "2.50"), sale("again", "tea", "2.50", 1, "2.50"), sale("no price", "x", None, 1, None), sale("no keys", "x", None, 1, None, None), sale("empty", "", "7.00", 1, "7.00")]
+    found = sales.item_dictionary(frame(spark, rows))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate(keys=[category" in plan
+    got = {(r["category"], r["price_per_unit"]): r["known_item"] for r in found.collect()}
+    assert found.count() == len(got)
+    assert got == {("Food", D("2.50")): "tea", ("Food", None): "x", ("Food", D("9.99")): None, (None, D("2.50")): None, (None, None): "x", ("Food", D("7.00")): ""}
+
+
 def test_csv_file_to_prepared_rows(spark, tmp_path):
     (tmp_path / "sales.csv").write_text(
         "Transaction ID,Customer ID,Category,Item,Price Per Unit,Quantity,Total Spent,Payment Method,Location,Transaction Date,Discount Applied\n"
