@@ -130,6 +130,8 @@ def _latest_report(spark: SparkSession, sf: str) -> DataFrame:
     purchases = view(spark, sf, "v_purchases")
     for ds in (PREVIOUS_DS, RUN_DS):
         sinks.write_partition(customer_features(purchases, ds, None, RETAIL_CONFIG), path)
+        # The shuffle files of a day go before those of the next one are written.
+        release(spark)
     report = files.read_latest_partition(spark, path, features_schema(spark, path))
     folder = f"{scratch(spark)}/report"
     name = f"customers_{RUN_DS}"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tables import SF_DIR
 from storelens.operators import dedupe, documents, features
+from storelens.plans import registry
 from storelens.plans.registry import RETAIL_CONFIG, RUN_DS, queries
 from storelens.plans.views import view
 from storelens.sources.specs import PURCHASES
@@ -194,3 +195,11 @@ def test_products_meet_carts_before_purchases_become_rows(spark):
     assert plan.index("Generate explode(CASE WHEN isnull(product") < plan.index("Join LeftOuter")
     got = sorted((r["kind"], r["value"] or "", r["total_purchases"]) for r in cube.collect())
     assert got == [("city", "c1", 0), ("day", "", 2), ("day", "2024-03-01", 5), ("organic", "0", 0), ("store", "s1", 0)]
+
+
+def test_shuffle_files_of_a_day_go_before_the_next_day(spark, monkeypatch):
+    done = []
+    monkeypatch.setattr(registry.sinks, "write_partition", lambda df, path, write=registry.sinks.write_partition: done.append("written") or write(df, path))
+    monkeypatch.setattr(registry, "release", lambda session: done.append("released"))
+    assert queries()["latest_partition_report"](spark, SF_DIR).count() == 1500
+    assert done == ["written", "released"] * 2
